@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from checks import shapes
 from laborloom.plans import decode, jolts, qcew
@@ -26,8 +25,7 @@ def geography_counts(bulk: DataFrame) -> DataFrame:
 
 
 def parsed_series(series: DataFrame) -> DataFrame:
-    trimmed = series.withColumn("series_id", F.trim("series_id"))
-    return jolts.parse_series(trimmed.select("series_id", "year", "period"))
+    return jolts.parse_series(series.select("series_id", "year", "period"))
 
 
 QCEW_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {

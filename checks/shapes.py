@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laborloom import fixed_values as fixed
+from laborloom.operators import shared
 
 STATE_CODES = [fips for fips, _, _ in fixed.STATES]
 #: Two-digit codes as the census publishes them; 11, 31-33 and 99 feed no sector.
@@ -96,8 +97,8 @@ def jolts_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def jolts_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of a series file: padded ids, both seasonal kinds, some sub-areas, size classes
-    and annual averages (``M13``)."""
+    """Rows of a series file: both seasonal kinds, some sub-areas, size classes and annual
+    averages (``M13``)."""
     supp, ship = F.col("l_suppkey"), F.col("l_shipdate")
     series_id = F.concat(
         F.lit("JT"),
@@ -110,10 +111,11 @@ def jolts_series(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_linestatus") == "O", "L").otherwise("R"),
     )
     month = F.lpad(F.month(ship).cast("string"), 2, "0")
-    return lineitem(spark, sf_dir).select(
-        F.rpad(series_id, 30, " ").alias("series_id"),
+    # Behind a generator, so that ids are put together once and not once per predicate.
+    return shared(lineitem(spark, sf_dir).select(
+        series_id.alias("series_id"),
         F.year(ship).cast("string").alias("year"),
         F.concat(F.lit("M"), F.when(F.col("l_linenumber") == 7, "13").otherwise(month)).alias("period"),
-        F.lpad(F.col("l_quantity").cast("long").cast("string"), 12, " ").alias("value"),
+        F.col("l_quantity").cast("long").cast("string").alias("value"),
         F.lit("").alias("footnote_codes"),
-    )
+    ))

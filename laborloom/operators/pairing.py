@@ -1,7 +1,9 @@
 """Matching published levels with published rates of the same series.
 
-Inputs carry ``geographic_type``, ``geographic_code``, ``industry_code``, ``data_element``,
-``ref_date``, ``rate_or_level`` and ``value``.
+Everything starts from :func:`observations`: the distinct observations of each series with
+the number of times they occur. A well-formed series has one level and one rate per month.
+Where it has more, every level meets every rate, as in an inner join on the key; carrying
+the multiplicities as counts gives the same sums without materialising those pairs.
 """
 
 from __future__ import annotations
@@ -10,54 +12,59 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laborloom.functions import ieee_div
+from laborloom.operators.sharing import shared
 
 SERIES_KEY = ["geographic_type", "geographic_code", "industry_code", "data_element", "ref_date"]
 
 
-def implied_employment(rows: DataFrame) -> DataFrame:
-    """Employment implied by each level and rate: level · 100 / rate.
+def observations(rows: DataFrame) -> DataFrame:
+    """Distinct (series key, ``rate_or_level``, ``value``) with their number of ``copies``.
+
+    One pass and one shuffle; map-side counting collapses copies before they travel.
+    """
+    return shared(rows.groupBy(*SERIES_KEY, "rate_or_level", "value").agg(F.count(F.lit(1)).alias("copies")))
+
+
+def _side(observed: DataFrame, kind: str) -> DataFrame:
+    return observed.where(F.col("rate_or_level") == kind).select(
+        *SERIES_KEY, F.col("value").alias(kind), F.col("copies").alias(f"{kind}_copies"))
 
-    A key with several levels and rates counts every combination, as an inner join on the
-    key would, but none is materialised: both sides are reduced first (levels to one row
-    per key, rates to one row per value) and multiplicities are carried as counts. A key
-    that holds a third of the input therefore costs two partial aggregates and one row.
+
+def implied_employment(observed: DataFrame) -> DataFrame:
+    """Employment implied by each level and rate: level · 100 / rate.
 
     Gives one row per key and rate: ``level_value`` and ``employment`` are sums over the
-    ``pairs`` combinations, which is one for a well-formed series.
+    ``pairs`` of a level and that rate.
     """
-    value = F.col("value")
-    levels = rows.where(F.col("rate_or_level") == "level").groupBy(*SERIES_KEY).agg(
-        F.count(F.lit(1)).alias("levels"),
-        F.sum("value").alias("level_sum"),
+    level, copies = F.col("level"), F.col("level_copies")
+    levels = _side(observed, "level").groupBy(*SERIES_KEY).agg(
+        F.sum(copies).alias("levels"),
+        F.sum(level * copies).alias("level_sum"),
         # A zero rate is applied level by level, since inf and NaN do not survive factoring out.
-        F.sum(ieee_div(value * 100.0, F.lit(0.0))).alias("employment_at_zero"),
+        F.sum(ieee_div(level * 100.0, F.lit(0.0))).alias("employment_at_zero"),
     )
-    rates = rows.where(F.col("rate_or_level") == "rate").groupBy(
-        *SERIES_KEY, value.alias("rate_value")
-    ).agg(F.count(F.lit(1)).alias("rates"))
-
-    rate = F.col("rate_value")
-    employment = F.when(rate == 0, F.col("employment_at_zero")).otherwise(
-        F.col("level_sum") * 100.0 / rate)
-    return levels.join(rates, on=SERIES_KEY, how="inner").select(
+    rate, rates = F.col("rate"), F.col("rate_copies")
+    employment = F.when(rate == 0, F.col("employment_at_zero")).otherwise(F.col("level_sum") * 100.0 / rate)
+    return levels.join(_side(observed, "rate"), on=SERIES_KEY).select(
         *SERIES_KEY,
-        (F.col("level_sum") * F.col("rates")).alias("level_value"),
-        "rate_value",
-        (F.col("levels") * F.col("rates")).alias("pairs"),
-        (employment * F.col("rates")).alias("employment"),
+        (F.col("level_sum") * rates).alias("level_value"),
+        rate.alias("rate_value"),
+        (F.col("levels") * rates).alias("pairs"),
+        (employment * rates).alias("employment"),
     )
 
 
-def level_rate_pairs(rows: DataFrame) -> DataFrame:
+def level_rate_pairs(observed: DataFrame) -> DataFrame:
     """Each level next to each rate of its key, with the employment they imply.
 
-    For series whose pairs are themselves output rows; one pair per key when the series
-    is well formed.
+    For series whose pairs are themselves output rows, so each of their copies is a row too.
     """
-    def side(kind: str, name: str) -> DataFrame:
-        return rows.where(F.col("rate_or_level") == kind).select(
-            *SERIES_KEY, F.col("value").alias(name))
-
-    level, rate = F.col("level_value"), F.col("rate_value")
-    return side("level", "level_value").join(side("rate", "rate_value"), on=SERIES_KEY).withColumn(
-        "employment", ieee_div(level * 100.0, rate))
+    pairs = _side(observed, "level").join(_side(observed, "rate"), on=SERIES_KEY)
+    copies = F.col("level_copies") * F.col("rate_copies")
+    return pairs.select(
+        *SERIES_KEY,
+        F.col("level").alias("level_value"),
+        F.col("rate").alias("rate_value"),
+        ieee_div(F.col("level") * 100.0, F.col("rate")).alias("employment"),
+        F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias("copy"),
+    ).drop("copy")

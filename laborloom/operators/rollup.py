@@ -17,19 +17,20 @@ from laborloom import dimensions
 from laborloom.operators.crosswalk import lookup
 from laborloom.operators.months import MONTH_COLUMNS
 
-CELL = ["geographic_type", "geographic_code", "industry_type", "industry_code", "year", "qtr"]
+#: A cell; its industry type follows from the code until industries are fanned out.
+CELL = ["geographic_type", "geographic_code", "industry_code", "year", "qtr"]
 
 
-def sum_cells(cells: DataFrame) -> DataFrame:
+def sum_cells(cells: DataFrame, *more: str) -> DataFrame:
     """Total of each cell, month by month; map-side partial sums absorb hot cells."""
-    return cells.groupBy(*CELL).agg(*[F.sum(m).alias(m) for m in MONTH_COLUMNS])
+    return cells.groupBy(*CELL, *more).agg(*[F.sum(m).alias(m) for m in MONTH_COLUMNS])
 
 
 def over_industries(cells: DataFrame, levels: Sequence[str]) -> DataFrame:
     """Fan sector cells out to the industry ``levels`` they count towards."""
-    members = cells.drop("industry_type").withColumnRenamed("industry_code", "member_code")
-    return lookup(members, dimensions.industry_closure(cells.sparkSession, levels),
-                  "member_code").select(*CELL, *MONTH_COLUMNS)
+    members = cells.withColumnRenamed("industry_code", "member_code")
+    closure = dimensions.industry_closure(cells.sparkSession, levels)
+    return lookup(members, closure, "member_code").drop("member_code")
 
 
 def _place(kind: Column, code: Column, applies: Column) -> Column:
@@ -54,5 +55,4 @@ def over_geographies(cells: DataFrame, levels: Sequence[str], keep_own: Column |
         .select(F.inline(F.array(*places)), "industry_type", "industry_code", "year", "qtr", *MONTH_COLUMNS)
         .where(F.col("place_type").isNotNull())
         .withColumnsRenamed({"place_type": "geographic_type", "place_code": "geographic_code"})
-        .select(*CELL, *MONTH_COLUMNS)
     )

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from laborloom import dimensions
 from laborloom import fixed_values as fixed
-from laborloom.operators import lookup
+from laborloom.operators import MONTH_COLUMNS, lookup
 from laborloom.plans import qcew
 
 
@@ -48,7 +48,9 @@ def domain_names(bulk: DataFrame) -> DataFrame:
 
 def _sectors_seen(bulk: DataFrame) -> DataFrame:
     """Distinct sectors with employment: at most one row per sector, from one pass."""
-    return qcew.classified(bulk).select(F.col("industry_code").alias("sector_code")).distinct()
+    any_count = F.max(F.coalesce(*MONTH_COLUMNS)).alias("any_count")
+    return qcew.classified(bulk).groupBy(F.col("industry_code").alias("sector_code")).agg(any_count).where(
+        F.col("any_count").isNotNull()).select("sector_code")
 
 
 def sector_codes_seen(bulk: DataFrame) -> DataFrame:

@@ -1,9 +1,10 @@
 """Job openings and labor turnover → hires and separations by industry.
 
-The published rows pass through a scan without a shuffle. Two domains are derived for the
-nation from a few point-filtered slices of the input: goods-producing (06) by summing its
-supersectors, private services (08) as total private (05) less 06. Their rates are rebuilt
-from implied employment, since rates do not add up.
+Two passes over the input. One maps the published rows, without a shuffle. The other reads
+the national rows of four industries, reduced at once to distinct observations, from which
+two domains are derived: goods-producing (06) by summing its supersectors, private services
+(08) as total private (05) less 06. Their rates are rebuilt from implied employment, since
+rates do not add up.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from laborloom import dimensions, schemas
 from laborloom import fixed_values as fixed
 from laborloom.functions import ieee_div, n_unique, series_columns, state_geography, sum_or_zero
-from laborloom.operators import implied_employment, level_rate_pairs, lookup
+from laborloom.operators import implied_employment, level_rate_pairs, lookup, observations
 
 OUTPUT_COLUMNS = schemas.JOLTS_OUTPUT.fieldNames()
 MAPPED_COLUMNS = ["rate_or_level" if c == "rate_level" else c for c in OUTPUT_COLUMNS]
@@ -24,6 +25,7 @@ GROUP_KEY = ["geographic_type", "geographic_code", "data_element", "ref_date"]
 SORT_KEY = ["geographic_type", "geographic_code", "industry_type", "industry_code", "ref_date",
             "rate_level", "data_element"]
 TOTAL_PRIVATE = "05"
+DERIVED_FROM = [TOTAL_PRIVATE, *fixed.GOODS_SUPERSECTORS]
 SUPERSECTORS = [code for _, code, kind in fixed.TURNOVER_INDUSTRIES if kind == "supersector"]
 
 
@@ -31,29 +33,28 @@ SUPERSECTORS = [code for _, code, kind in fixed.TURNOVER_INDUSTRIES if kind == "
 
 
 def parse_series(series: DataFrame) -> DataFrame:
-    """Adds the fields coded in ``series_id``."""
+    """Adds the fields coded in ``series_id``, which must carry no leading blanks."""
     return series.select("*", *series_columns())
 
 
 def select_series(series: DataFrame) -> DataFrame:
     """Seasonally adjusted, all-area, all-size monthly observations in the input contract."""
-    trimmed = series.withColumn("series_id", F.trim("series_id"))
     month = F.substring("period", 2, 2).cast("int")
     return (
-        parse_series(trimmed)
+        parse_series(series)
         .where(
             (F.col("seasonal") == "S")
+            & F.col("period").rlike("^M(0[1-9]|1[0-2])$")
             & (F.col("area_code") == "00000")
             & (F.col("sizeclass_code") == "00")
             & F.col("ratelevel_code").isin("L", "R")
             & F.col("industry_code").isin(_source_codes())
             & F.col("dataelement_code").isin(_source_elements())
-            & F.trim("period").rlike("^M(0[1-9]|1[0-2])$")
         )
         .select(
             "state_code", "industry_code", "dataelement_code", "ratelevel_code",
-            F.make_date(F.trim("year").cast("int"), month, F.lit(1)).alias("ref_date"),
-            F.trim("value").cast("double").alias("value"),
+            F.make_date(F.col("year").cast("int"), month, F.lit(1)).alias("ref_date"),
+            F.col("value").cast("double").alias("value"),
         )
     )
 
@@ -84,9 +85,9 @@ def mapped(survey: DataFrame) -> DataFrame:
 
 
 def national(survey: DataFrame, codes: Sequence[str]) -> DataFrame:
-    """Published national rows of the given industries."""
-    return mapped(survey.where((F.col("state_code") == fixed.NATIONAL_CODE)
-                               & F.col("industry_code").isin(_source_codes(codes))))
+    """Distinct national observations of the given industries, read once for all uses."""
+    return observations(mapped(survey.where((F.col("state_code") == fixed.NATIONAL_CODE)
+                                            & F.col("industry_code").isin(_source_codes(codes)))))
 
 
 # --- derived domains ---------------------------------------------------------
@@ -97,19 +98,20 @@ def supersector_employment(survey: DataFrame) -> DataFrame:
     return implied_employment(national(survey, SUPERSECTORS))
 
 
-def goods_totals(survey: DataFrame) -> DataFrame:
+def goods_totals(observed: DataFrame) -> DataFrame:
     """Level and implied employment of 06 over the supersectors having both level and rate."""
-    return implied_employment(national(survey, fixed.GOODS_SUPERSECTORS)).groupBy(*GROUP_KEY).agg(
+    goods = observed.where(F.col("industry_code").isin(fixed.GOODS_SUPERSECTORS))
+    return implied_employment(goods).groupBy(*GROUP_KEY).agg(
         sum_or_zero(F.col("level_value")).alias("level"),
         sum_or_zero(F.col("employment")).alias("employment"),
     )
 
 
-def private_service_totals(survey: DataFrame) -> DataFrame:
+def private_service_totals(observed: DataFrame) -> DataFrame:
     """Level and implied employment of 08, the rest of total private after 06."""
-    goods = goods_totals(survey).withColumnsRenamed({"level": "goods_level", "employment": "goods_employment"})
-    private = level_rate_pairs(national(survey, [TOTAL_PRIVATE])).drop("industry_code")
-    return private.join(goods, on=GROUP_KEY).select(
+    goods = goods_totals(observed).withColumnsRenamed({"level": "goods_level", "employment": "goods_employment"})
+    private = level_rate_pairs(observed.where(F.col("industry_code") == TOTAL_PRIVATE))
+    return private.drop("industry_code").join(goods, on=GROUP_KEY).select(
         *GROUP_KEY,
         (F.col("level_value") - F.col("goods_level")).alias("level"),
         (F.col("employment") - F.col("goods_employment")).alias("employment"),
@@ -129,11 +131,11 @@ def domain_rows(totals: DataFrame, code: str) -> DataFrame:
 
 
 def domain_06(survey: DataFrame) -> DataFrame:
-    return domain_rows(goods_totals(survey), "06")
+    return domain_rows(goods_totals(national(survey, fixed.GOODS_SUPERSECTORS)), "06")
 
 
 def domain_08(survey: DataFrame) -> DataFrame:
-    return domain_rows(private_service_totals(survey), "08")
+    return domain_rows(private_service_totals(national(survey, DERIVED_FROM)), "08")
 
 
 # --- whole pipeline ----------------------------------------------------------
@@ -142,10 +144,11 @@ def domain_08(survey: DataFrame) -> DataFrame:
 def to_ces(survey: DataFrame) -> DataFrame:
     """Published and derived rows, in no particular order."""
     labels = {label: output for _, label, output in fixed.TURNOVER_ELEMENTS}
+    observed = national(survey, DERIVED_FROM)
     return (
         mapped(survey)
-        .unionByName(domain_06(survey))
-        .unionByName(domain_08(survey))
+        .unionByName(domain_rows(goods_totals(observed), "06"))
+        .unionByName(domain_rows(private_service_totals(observed), "08"))
         .withColumnRenamed("rate_or_level", "rate_level")
         .replace(labels, subset=["data_element"])
     )

@@ -22,6 +22,7 @@ from laborloom import dimensions, schemas
 from laborloom import fixed_values as fixed
 from laborloom.functions import area_geography, n_unique, positive_count
 from laborloom.operators import (
+    CELL,
     MONTH_COLUMNS,
     lookup,
     months_long,
@@ -80,13 +81,10 @@ def _in_streams(streams: Sequence[str]) -> Column:
 
 
 def _numeric(bulk: DataFrame, *columns: str | Column) -> DataFrame:
-    """``columns`` with the quarter and the three counts as numbers; all-suppressed rows vanish."""
-    return (
-        schemas.conform(bulk, schemas.QCEW_INPUT)
-        .select(*columns, F.col("year").cast("int").alias("year"), F.col("qtr").cast("int").alias("qtr"),
-                *[positive_count(m).alias(m) for m in MONTH_COLUMNS])
-        .where(F.coalesce(*MONTH_COLUMNS).isNotNull())
-    )
+    """``columns`` with the quarter and the three counts as numbers."""
+    return schemas.conform(bulk, schemas.QCEW_INPUT).select(
+        *columns, F.col("year").cast("int").alias("year"), F.col("qtr").cast("int").alias("qtr"),
+        *[positive_count(m).alias(m) for m in MONTH_COLUMNS])
 
 
 def _rows(cells: DataFrame) -> DataFrame:
@@ -99,76 +97,73 @@ def _rows(cells: DataFrame) -> DataFrame:
 def classified(bulk: DataFrame, streams: Sequence[str] = SECTOR_STREAMS) -> DataFrame:
     """Input rows of the wanted sub-populations with geography and industry, not yet summed."""
     is_total = F.col("own_code") == "0"
-    keyed = _numeric(
-        bulk.where(_in_streams(streams)),
-        *area_geography(),
-        "own_code",
-        "agglvl_code",
-        F.when(is_total, dimensions.ANY_NAICS).otherwise(F.col("industry_code")).alias("naics"),
-        F.when(is_total, "national").otherwise("sector").alias("industry_type"),
-    )
+    naics = F.when(is_total, dimensions.ANY_NAICS).otherwise(F.col("industry_code"))
+    keyed = _numeric(bulk.where(_in_streams(streams)), *area_geography(), "own_code", "agglvl_code",
+                     naics.alias("naics"))
     crosswalk = dimensions.sector_crosswalk(bulk.sparkSession, streams)
-    return lookup(keyed, crosswalk, ["own_code", "agglvl_code", "naics"]).drop(
-        "own_code", "agglvl_code", "naics")
+    return lookup(keyed, crosswalk, ["own_code", "agglvl_code", "naics"]).select(*CELL, *MONTH_COLUMNS)
 
 
 def sector_cells(bulk: DataFrame, streams: Sequence[str] = SECTOR_STREAMS) -> DataFrame:
     return sum_cells(classified(bulk, streams))
 
 
+def _sector_rows(cells: DataFrame) -> DataFrame:
+    return _rows(cells.withColumn("industry_type", F.lit("sector")))
+
+
 # --- stages ------------------------------------------------------------------
 
 
 def private_sectors(bulk: DataFrame) -> DataFrame:
-    return _rows(sector_cells(bulk, ["private"]))
+    return _sector_rows(sector_cells(bulk, ["private"]))
 
 
 def government_sectors(bulk: DataFrame) -> DataFrame:
-    return _rows(sector_cells(bulk, ["government"]))
+    return _sector_rows(sector_cells(bulk, ["government"]))
 
 
 def manufacturing_sectors(bulk: DataFrame) -> DataFrame:
     """Durable (31) and nondurable (32) manufacturing from three-digit industries."""
-    return _rows(sector_cells(bulk, ["manufacturing"]))
+    return _sector_rows(sector_cells(bulk, ["manufacturing"]))
 
 
 def sectors(bulk: DataFrame) -> DataFrame:
-    return _rows(sector_cells(bulk))
+    return _sector_rows(sector_cells(bulk))
 
 
 def supersectors(bulk: DataFrame) -> DataFrame:
-    return _rows(sum_cells(over_industries(sector_cells(bulk), ["supersector"])))
+    return _rows(sum_cells(over_industries(sector_cells(bulk), ["supersector"]), "industry_type"))
 
 
 def domains(bulk: DataFrame) -> DataFrame:
-    return _rows(sum_cells(over_industries(sector_cells(bulk), ["domain"])))
+    return _rows(sum_cells(over_industries(sector_cells(bulk), ["domain"]), "industry_type"))
 
 
 def hierarchy(bulk: DataFrame) -> DataFrame:
     """National and state rows at every industry level."""
-    summed = _rows(sum_cells(over_industries(sector_cells(bulk), INDUSTRY_LEVELS)))
+    summed = _rows(sum_cells(over_industries(sector_cells(bulk), INDUSTRY_LEVELS), "industry_type"))
     return summed.unionByName(total_rows(bulk))
 
 
 def _all_levels(bulk: DataFrame) -> DataFrame:
-    """Sums of every sector, supersector and domain, plus summed totals marked ``national``."""
-    cells = sum_cells(classified(bulk, ALL_STREAMS))
-    return over_industries(cells, ["national", *INDUSTRY_LEVELS])
+    """Cells fanned out to sector, supersector and domain, with summed totals marked ``national``."""
+    return over_industries(sector_cells(bulk, ALL_STREAMS), ["national", *INDUSTRY_LEVELS])
 
 
 def divisions(bulk: DataFrame) -> DataFrame:
-    return _rows(sum_cells(over_geographies(_all_levels(bulk), ["division"])))
+    return _rows(sum_cells(over_geographies(_all_levels(bulk), ["division"]), "industry_type"))
 
 
 def regions(bulk: DataFrame) -> DataFrame:
-    return _rows(sum_cells(over_geographies(_all_levels(bulk), ["region"])))
+    return _rows(sum_cells(over_geographies(_all_levels(bulk), ["region"]), "industry_type"))
 
 
 def to_ces(bulk: DataFrame) -> DataFrame:
     """The whole pipeline: employment in thousands at every industry and geography level."""
     # Totals reach divisions and regions as sums but stay unsummed at their own level.
     own_level = F.col("industry_type") != "national"
-    summed = _rows(sum_cells(over_geographies(_all_levels(bulk), GEOGRAPHY_LEVELS, keep_own=own_level)))
+    summed = _rows(sum_cells(over_geographies(_all_levels(bulk), GEOGRAPHY_LEVELS, keep_own=own_level), "industry_type"))
     return in_thousands(summed.unionByName(total_rows(bulk)))
 
 
@@ -186,4 +181,4 @@ def summary(rows: DataFrame) -> DataFrame:
 
 def is_empty(bulk: DataFrame) -> bool:
     """Whether the pipeline would give no row; stops at the first input row that counts."""
-    return classified(bulk, ALL_STREAMS).isEmpty()
+    return classified(bulk, ALL_STREAMS).where(F.coalesce(*MONTH_COLUMNS).isNotNull()).isEmpty()

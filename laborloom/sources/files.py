@@ -31,6 +31,8 @@ def read_jolts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_series(spark: SparkSession, path: str) -> DataFrame:
-    """Tab-separated series file with a header line; values arrive as padded text."""
+    """Tab-separated series file with a header line; ids and values are stripped of padding."""
     return (spark.read.schema(schemas.SERIES_INPUT)
-            .options(sep="\t", header=True, enforceSchema=True).csv(str(path)))
+            .options(sep="\t", header=True, enforceSchema=True,
+                     ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
+            .csv(str(path)))
