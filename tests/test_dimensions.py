@@ -1,0 +1,125 @@
+from __future__ import annotations
+
+import pytest
+
+from laborloom import dimensions
+from laborloom import fixed_values as fixed
+from laborloom.schemas import QCEW_INPUT, conform
+
+
+def test_hierarchy_frame(spark):
+    frame = dimensions.hierarchy(spark)
+    rows = frame.collect()
+    assert len(rows) == 18
+    assert set(frame.columns) == {"sector_code", "sector_title", "supersector_code", "supersector_title",
+                                  "domain_code", "domain_title"}
+    assert {row.domain_code for row in rows} == {"G", "S"}
+    manufacturing = [row for row in rows if row.sector_code == "31"]
+    assert [(row.supersector_code, row.domain_code) for row in manufacturing] == [("30", "G")]
+
+
+def test_code_lists():
+    assert dimensions.sector_codes() == sorted(dimensions.sector_codes())
+    assert {"21", "23", "31", "42", "44", "51", "72", "81"} <= set(dimensions.sector_codes())
+    assert not {"91", "92", "93"} & set(dimensions.sector_codes())
+    assert dimensions.supersector_codes() == ["10", "20", "30", "40", "50", "55", "60", "65", "70", "80"]
+
+
+def test_components():
+    components = dimensions.supersector_components()
+    assert components["90"] == ["91", "92", "93"]
+    assert components["40"] == ["22", "42", "44", "48"]
+    assert components["30"] == ["31"]
+    assert list(components) == sorted(components)
+    assert all(sectors == sorted(sectors) for sectors in components.values())
+    assert dimensions.sector_supersector()["32"] == "30"
+
+
+def test_domains():
+    assert {code for code, *_ in fixed.DOMAINS} == {"00", "05", "06", "07", "08"}
+    flags = {code: (government, goods) for code, _, government, goods, _ in fixed.DOMAINS}
+    assert flags == {"00": (True, False), "05": (False, False), "06": (False, True),
+                     "07": (True, False), "08": (False, False)}
+    private = set(dimensions.supersector_codes())
+    goods = set(fixed.GOODS_SUPERSECTORS)
+    assert set(dimensions.domain_supersectors("00")) == private | {"90"}
+    assert set(dimensions.domain_supersectors("05")) == private
+    assert set(dimensions.domain_supersectors("06")) == goods
+    assert set(dimensions.domain_supersectors("07")) == private - goods | {"90"}
+    assert set(dimensions.domain_supersectors("08")) == private - goods
+    with pytest.raises(ValueError, match="Unknown domain code"):
+        dimensions.domain_supersectors("99")
+
+
+def test_crosswalk_values():
+    assert fixed.OWNERSHIP_SECTOR == {"1": "91", "2": "92", "3": "93"}
+    manufacturing = dimensions.manufacturing_sector()
+    assert len(manufacturing) == 21 and set(manufacturing.values()) == {"31", "32"}
+    assert (manufacturing["321"], manufacturing["336"], manufacturing["311"], manufacturing["325"]) == (
+        "31", "31", "32", "32")
+    naics = dimensions.naics_sector()
+    assert len(naics) == 19 and naics["44-45"] == "44" and naics["48-49"] == "48"
+    assert not {"11", "31", "31-33", "99"} & set(naics)
+    assert fixed.SINGLE_SECTOR_SUPERSECTORS == {"20": "23", "50": "51", "80": "81"}
+
+
+def test_industries():
+    by_type = {}
+    for _, code, kind, _, naics in fixed.INDUSTRIES:
+        by_type.setdefault(kind, {})[code] = naics
+    assert {kind: len(codes) for kind, codes in by_type.items()} == {"domain": 5, "supersector": 11, "sector": 19}
+    sectors = by_type["sector"]
+    assert (sectors["41"], sectors["42"], sectors["43"]) == ("42", "44", "48")
+    assert all(naics == code for code, naics in sectors.items() if code not in {"41", "42", "43"})
+    assert set(by_type["domain"].values()) | set(by_type["supersector"].values()) == {""}
+
+
+def test_turnover_values():
+    assert len(fixed.TURNOVER_INDUSTRIES) == 12
+    assert ("100000", "05", "domain") in fixed.TURNOVER_INDUSTRIES
+    assert sum(kind == "supersector" for _, _, kind in fixed.TURNOVER_INDUSTRIES) == 10
+    assert {code: label for code, label, _ in fixed.TURNOVER_ELEMENTS} == {
+        "HI": "hires", "TS": "total_separations"}
+    assert sum(length for _, _, length in fixed.SERIES_FIELDS) == 21 - len("JT")
+
+
+def test_geography():
+    fips = [code for code, _, _ in fixed.STATES]
+    assert len(fips) == 53 and fips == sorted(fips) and all(len(c) == 2 and c.isdigit() for c in fips)
+    names = dimensions.state_names()
+    assert (names["06"], names["36"], names["11"], names["72"]) == (
+        "California", "New York", "District of Columbia", "Puerto Rico")
+    division = dimensions.state_division()
+    assert len(division) == 51 and set(fips) - set(division) == {"72", "78"}
+    assert (division["06"], division["36"], division["48"], division["17"], division["11"]) == (
+        "9", "2", "7", "3", "5")
+    region = dimensions.division_region()
+    assert set(division.values()) == set(region) and set(region.values()) == {"1", "2", "3", "4"}
+    assert {s: region[division[s]] for s in ("06", "36", "48")} == {"06": "4", "36": "1", "48": "3"}
+
+
+def test_area_names(spark):
+    rows = {row.area_name: row.fips for row in dimensions.areas(spark).collect()}
+    assert rows["United States"] == "00"
+    assert {name: fips for name, fips in rows.items() if fips != "00"} == {
+        name: fips for fips, name in dimensions.state_names().items()}
+
+
+def test_industry_closure_levels(spark):
+    rows = {tuple(row) for row in dimensions.industry_closure(spark, ["supersector", "domain"]).collect()}
+    assert {row[1:] for row in rows if row[0] == "23"} == {("supersector", "20"), ("domain", "05"), ("domain", "06")}
+    assert {row[1:] for row in rows if row[0] == "91"} == {("supersector", "90"), ("domain", "07")}
+    assert {row[1:] for row in rows if row[0] == "72"} == {
+        ("supersector", "70"), ("domain", "05"), ("domain", "07"), ("domain", "08")}
+
+
+def test_dimensions_are_bounded_local_relations(spark):
+    with pytest.raises(ValueError):
+        dimensions.dimension(spark, ["a"], [(i,) for i in range(dimensions.MAX_DIMENSION_ROWS + 1)])
+    plan = dimensions.states(spark)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("LocalRelation")
+
+
+def test_conform_names_missing_columns(spark):
+    with pytest.raises(ValueError, match="month3_emplvl"):
+        conform(spark.createDataFrame([], QCEW_INPUT).drop("month3_emplvl"), QCEW_INPUT)
