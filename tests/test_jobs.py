@@ -1,0 +1,49 @@
+from __future__ import annotations
+
+from builders import bag, census, census_row, observation, survey
+from laborloom import jobs
+from laborloom.plans import jolts, qcew
+
+
+def test_qcew_job(spark, tmp_path, capsys):
+    bulk = census(spark, [census_row(area="06000", level="54", months=(1000, 2000, 3000))])
+    bulk.write.parquet(str(tmp_path / "bulk"))
+    out = str(tmp_path / "new" / "out")
+    assert jobs.main(["qcew", "--bulk-path", str(tmp_path / "bulk"), "--output", out]) == 0
+    written = spark.read.parquet(out)
+    assert bag(written) == bag(qcew.to_ces(bulk))
+    assert f"Wrote {out} ({written.count():,} rows)" in capsys.readouterr().out
+
+
+def test_jolts_job_keeps_the_order(spark, tmp_path):
+    rows = [observation("300000", kind, value, state=state) for state in ("41", "06", "00")
+            for kind, value in (("R", 2.0), ("L", 100.0))]
+    survey(spark, rows).write.parquet(str(tmp_path / "survey"))
+    out = str(tmp_path / "out")
+    assert jobs.main(["jolts", "--jolts-path", str(tmp_path / "survey"), "--output", out]) == 0
+    written = spark.read.parquet(out)
+    assert bag(written) == bag(jolts.to_ces(survey(spark, rows)))
+    assert {row.geographic_code for row in written.collect()} == {"00", "06", "41"}
+
+
+def test_nothing_to_write(spark, tmp_path, capsys):
+    empty = str(tmp_path / "empty")
+    census(spark, [census_row(months=(0, 0, None))]).write.parquet(empty)
+    out = tmp_path / "out"
+    census(spark, [census_row()]).write.parquet(str(out))
+    for source in (str(tmp_path / "nothing"), empty):
+        assert jobs.main(["qcew", "--bulk-path", source, "--output", str(out)]) == 1
+    assert jobs.main(["jolts", "--jolts-path", str(tmp_path / "nothing"), "--output", str(out)]) == 1
+    assert "No data to write." in capsys.readouterr().err
+    assert spark.read.parquet(str(out)).count() == 1
+
+
+def test_series_job_feeds_the_turnover_job(spark, tmp_path):
+    path = tmp_path / "series.txt"
+    path.write_text("series_id\tyear\tperiod\tvalue\tfootnote_codes\n"
+                    "JTS300000000000000HIL  \t2024\tM03\t  100\t\nJTS300000000000000HIR  \t2024\tM03\t  4\t\n")
+    middle, out = str(tmp_path / "survey"), str(tmp_path / "out")
+    assert jobs.main(["series", "--series-path", str(path), "--output", middle]) == 0
+    assert jobs.main(["jolts", "--jolts-path", middle, "--output", out]) == 0
+    assert {(r.industry_code, r.rate_level, r.value) for r in spark.read.parquet(out).collect()} == {
+        ("30", "level", 100.0), ("30", "rate", 4.0), ("06", "level", 100.0), ("06", "rate", 4.0)}
