@@ -20,6 +20,11 @@ from laborloom.plans import jolts, qcew
 from laborloom.sources import read_jolts, read_qcew, read_series
 
 
+def balanced(rows: DataFrame) -> DataFrame:
+    """Evenly sized output files: rows that pass a scan unshuffled would leave a file per split."""
+    return rows.hint("rebalance")
+
+
 def write_counted(rows: DataFrame, output: str) -> int:
     """Writes ``rows`` as Parquet and returns their number, counted while they are written."""
     seen = Observation("written")
@@ -30,7 +35,7 @@ def write_counted(rows: DataFrame, output: str) -> int:
 
 def run_qcew(spark: SparkSession, bulk_path: str, output: str) -> int | None:
     bulk = read_qcew(spark, bulk_path)
-    return None if qcew.is_empty(bulk) else write_counted(qcew.to_ces(bulk), output)
+    return None if qcew.is_empty(bulk) else write_counted(balanced(qcew.to_ces(bulk)), output)
 
 
 def run_jolts(spark: SparkSession, jolts_path: str, output: str) -> int | None:
@@ -41,7 +46,7 @@ def run_jolts(spark: SparkSession, jolts_path: str, output: str) -> int | None:
 def run_series(spark: SparkSession, series_path: str, output: str) -> int | None:
     """Turns a series text file into the Parquet input of the turnover job."""
     selected = jolts.select_series(read_series(spark, series_path))
-    return None if selected.isEmpty() else write_counted(selected, output)
+    return None if selected.isEmpty() else write_counted(balanced(selected), output)
 
 
 def main(argv: Sequence[str] | None = None) -> int:
