@@ -91,6 +91,11 @@ def division_region() -> dict[str, str]:
     return {division: region for division, _, region in fixed.DIVISIONS}
 
 
+def state_region() -> dict[str, str]:
+    regions_of = division_region()
+    return {fips: regions_of[division] for fips, division in state_division().items()}
+
+
 # --- dimension tables --------------------------------------------------------
 
 
@@ -110,15 +115,22 @@ def domains(spark: SparkSession) -> DataFrame:
     return dimension(spark, columns, [row[:4] for row in fixed.DOMAINS])
 
 
+def domain_members(spark: SparkSession) -> DataFrame:
+    rows = [(code, supersector) for code, _, _, _, members in fixed.DOMAINS for supersector in members]
+    return dimension(spark, ["domain_code", "supersector_code"], rows)
+
+
 def components(spark: SparkSession) -> DataFrame:
-    rows = [(code, s) for code, sectors in supersector_components().items() for s in sectors]
-    return dimension(spark, ["supersector_code", "sector_code"], rows)
+    """Supersector and sector, with a mark on supersectors listed as holding a single sector."""
+    rows = [(code, sector, code in fixed.SINGLE_SECTOR_SUPERSECTORS)
+            for code, sectors in supersector_components().items() for sector in sectors]
+    return dimension(spark, ["supersector_code", "sector_code", "is_single_sector"], rows)
 
 
 def states(spark: SparkSession) -> DataFrame:
     """State with its division and region; territories have neither."""
-    regions_of = division_region()
-    rows = [(fips, name, division, regions_of.get(division)) for fips, name, division in fixed.STATES]
+    regions_of = state_region()
+    rows = [(fips, name, division, regions_of.get(fips)) for fips, name, division in fixed.STATES]
     return dimension(spark, ["fips", "state_name", "division_code", "region_code"], rows)
 
 

@@ -37,13 +37,15 @@ def parse_series(series: DataFrame) -> DataFrame:
     return series.select("*", *series_columns())
 
 
-def select_series(series: DataFrame) -> DataFrame:
+def select_series(series: DataFrame, national_only: bool = False) -> DataFrame:
     """Seasonally adjusted, all-area, all-size monthly observations in the input contract."""
     month = F.substring("period", 2, 2).cast("int")
+    in_scope = F.col("state_code") == fixed.NATIONAL_CODE if national_only else F.lit(True)
     return (
         parse_series(series)
         .where(
-            (F.col("seasonal") == "S")
+            in_scope
+            & (F.col("seasonal") == "S")
             & F.col("period").rlike("^M(0[1-9]|1[0-2])$")
             & (F.col("area_code") == "00000")
             & (F.col("sizeclass_code") == "00")

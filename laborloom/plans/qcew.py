@@ -136,8 +136,13 @@ def supersectors(bulk: DataFrame) -> DataFrame:
     return _rows(sum_cells(over_industries(sector_cells(bulk), ["supersector"]), "industry_type"))
 
 
-def domains(bulk: DataFrame) -> DataFrame:
-    return _rows(sum_cells(over_industries(sector_cells(bulk), ["domain"]), "industry_type"))
+def domains(bulk: DataFrame, codes: Sequence[str] = fixed.SUMMED_DOMAINS) -> DataFrame:
+    """Domains summed from their supersectors; 00 is published and not among them."""
+    unknown = set(codes) - set(fixed.SUMMED_DOMAINS)
+    if unknown:
+        raise ValueError(f"Not a summed domain: {', '.join(sorted(unknown))}")
+    cells = over_industries(sector_cells(bulk), ["domain"]).where(F.col("industry_code").isin(list(codes)))
+    return _rows(sum_cells(cells, "industry_type"))
 
 
 def hierarchy(bulk: DataFrame) -> DataFrame:

@@ -105,6 +105,16 @@ def test_area_names(spark):
         name: fips for fips, name in dimensions.state_names().items()}
 
 
+def test_member_tables(spark):
+    members = {tuple(row) for row in dimensions.domain_members(spark).collect()}
+    assert members == {(code, s) for code in ("00", "05", "06", "07", "08") for s in dimensions.domain_supersectors(code)}
+    single = dimensions.components(spark).where("is_single_sector").collect()
+    assert {row.supersector_code: row.sector_code for row in single} == fixed.SINGLE_SECTOR_SUPERSECTORS
+    places = {row.fips: (row.division_code, row.region_code) for row in dimensions.states(spark).collect()}
+    assert places["11"] == ("5", "3") and places["78"] == (None, None)
+    assert set(dimensions.state_region()) == set(dimensions.state_division())
+
+
 def test_industry_closure_levels(spark):
     rows = {tuple(row) for row in dimensions.industry_closure(spark, ["supersector", "domain"]).collect()}
     assert {row[1:] for row in rows if row[0] == "23"} == {("supersector", "20"), ("domain", "05"), ("domain", "06")}

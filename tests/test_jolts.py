@@ -193,3 +193,4 @@ def test_select_series(spark):
     assert [f.dataType for f in selected.schema] == [f.dataType for f in schemas.JOLTS_INPUT]
     assert sorted(tuple(row) for row in selected.collect()) == [
         ("00", "100000", "HI", "L", date(2024, 1, 1), 12.5), ("06", "300000", "TS", "R", date(2023, 12, 1), 3.0)]
+    assert [row.state_code for row in jolts.select_series(series, national_only=True).collect()] == ["00"]

@@ -42,6 +42,13 @@ def test_every_level_of_the_nation(spark):
     }
 
 
+def test_single_domains(spark):
+    rows = qcew.domains(national_case(spark), ["06", "07"]).where("month(ref_date) = 1").collect()
+    assert {row.industry_code: row.employment for row in rows} == {"06": 11000.0, "07": 31000.0}
+    with pytest.raises(ValueError, match="99"):
+        qcew.domains(national_case(spark), ["99"])
+
+
 def test_output_contract(spark):
     result = qcew.to_ces(national_case(spark))
     assert [(f.name, f.dataType) for f in result.schema] == [
