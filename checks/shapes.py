@@ -7,7 +7,7 @@ census rows is national, which makes a few very hot groups.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laborloom import fixed_values as fixed
@@ -28,38 +28,35 @@ def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
 
 
-def pick(codes: list[str], index: Column) -> Column:
-    """The code at position ``index % len(codes)``."""
-    return F.element_at(F.array(*[F.lit(code) for code in codes]), (index % len(codes) + 1).cast("int"))
+def pick(codes: list[str], index: str) -> str:
+    """SQL text for the code at position ``index % len(codes)``."""
+    return f"element_at(split('{' '.join(codes)}', ' '), CAST({index} % {len(codes)} + 1 AS INT))"
 
 
 def qcew_bulk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    line = F.col("l_linenumber")
-    part, supp, ship = F.col("l_partkey"), F.col("l_suppkey"), F.col("l_shipdate")
-    nation = part % 3 == 0
-
-    def level(national: str, state: str) -> Column:
-        return F.when(nation, national).otherwise(state)
-
-    government = line <= 3
-    private = line.isin(4, 5)
-    manufacturing = line == 6
-    # A zero stands for a suppressed count.
-    count = F.when(F.col("l_discount") == 0, F.lit("0")).otherwise(
-        F.col("l_quantity").cast("long").cast("string"))
-    return lineitem(spark, sf_dir).select(
-        F.when(nation, fixed.NATIONAL_AREA).otherwise(
-            F.concat(pick(STATE_CODES, part), F.lit("000"))).alias("area_fips"),
-        F.when(government, line.cast("string")).when(private | manufacturing, "5").otherwise("0").alias("own_code"),
-        F.when(government, F.when(supp % 11 == 0, "102").otherwise("10"))
-        .when(private, pick(NAICS2_CODES, supp))
-        .when(manufacturing, pick(NAICS3_CODES, supp))
-        .otherwise("10").alias("industry_code"),
-        F.when(government, level("11", "51")).when(private, level("14", "54"))
-        .when(manufacturing, level("15", "55")).otherwise(level("10", "50")).alias("agglvl_code"),
-        F.year(ship).cast("string").alias("year"),
-        F.quarter(ship).cast("string").alias("qtr"),
-        *[F.when((F.month(ship) - 1) % 3 + 1 == k, count).alias(f"month{k}_emplvl") for k in (1, 2, 3)],
+    nation = "l_partkey % 3 = 0"
+
+    def level(national: str, state: str) -> str:
+        return f"IF({nation}, '{national}', '{state}')"
+
+    def month_count(k: int) -> str:
+        # A zero stands for a suppressed count.
+        count = "IF(l_discount = 0, '0', CAST(CAST(l_quantity AS BIGINT) AS STRING))"
+        return f"CASE WHEN (month(l_shipdate) - 1) % 3 + 1 = {k} THEN {count} END AS month{k}_emplvl"
+
+    # Line numbers 1 to 3 are government, 4 and 5 private, 6 manufacturing, 7 totals.
+    return lineitem(spark, sf_dir).selectExpr(
+        f"IF({nation}, '{fixed.NATIONAL_AREA}', {pick(STATE_CODES, 'l_partkey')} || '000') AS area_fips",
+        "CASE WHEN l_linenumber <= 3 THEN CAST(l_linenumber AS STRING) "
+        "WHEN l_linenumber <= 6 THEN '5' ELSE '0' END AS own_code",
+        "CASE WHEN l_linenumber <= 3 THEN IF(l_suppkey % 11 = 0, '102', '10') "
+        f"WHEN l_linenumber <= 5 THEN {pick(NAICS2_CODES, 'l_suppkey')} "
+        f"WHEN l_linenumber = 6 THEN {pick(NAICS3_CODES, 'l_suppkey')} ELSE '10' END AS industry_code",
+        f"CASE WHEN l_linenumber <= 3 THEN {level('11', '51')} WHEN l_linenumber <= 5 THEN {level('14', '54')} "
+        f"WHEN l_linenumber = 6 THEN {level('15', '55')} ELSE {level('10', '50')} END AS agglvl_code",
+        "CAST(year(l_shipdate) AS STRING) AS year",
+        "CAST(quarter(l_shipdate) AS STRING) AS qtr",
+        *[month_count(k) for k in (1, 2, 3)],
     )
 
 
@@ -69,53 +66,43 @@ def jolts_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     Rates are powers of two, so implied employment is exact and sums do not depend on
     their order. Some rates are missing, which takes their supersector out of 06.
     """
-    base = lineitem(spark, sf_dir).select(
-        pick(SURVEY_STATES, F.col("l_partkey")).alias("state_code"),
-        (2 + F.col("l_suppkey") % 11).cast("int").alias("ordinal"),
-        pick(SURVEY_ELEMENTS, F.col("l_linenumber")).alias("dataelement_code"),
-        F.trunc("l_shipdate", "month").alias("ref_date"),
+    base = lineitem(spark, sf_dir).selectExpr(
+        f"{pick(SURVEY_STATES, 'l_partkey')} AS state_code",
+        "CAST(2 + l_suppkey % 11 AS INT) AS ordinal",
+        f"{pick(SURVEY_ELEMENTS, 'l_linenumber')} AS dataelement_code",
+        "trunc(l_shipdate, 'month') AS ref_date",
         "l_quantity",
     ).groupBy("state_code", "ordinal", "dataelement_code", "ref_date").agg(F.sum("l_quantity").alias("level"))
 
     # Every mapped industry also counts towards total private, every industry towards the total.
-    ordinal, unmapped = F.col("ordinal"), len(SURVEY_CODES) - 1
-    members = F.array_compact(F.array(ordinal, F.when(ordinal != unmapped, 1), F.lit(0)))
-    levels = base.withColumn("member", F.explode(members)).groupBy(
+    unmapped = len(SURVEY_CODES) - 1
+    members = F.expr(f"explode(array_compact(array(ordinal, IF(ordinal <> {unmapped}, 1, NULL), 0)))")
+    levels = base.withColumn("member", members).groupBy(
         "state_code", "member", "dataelement_code", "ref_date").agg(F.sum("level").alias("level"))
 
-    member, month = F.col("member"), F.month("ref_date")
-    rate = F.when(member == 1, 0.5).otherwise(F.pow(F.lit(2.0), (member + month) % 5 - 1))
-    has_rate = (member == 1) | ((member * 7 + month) % 13 != 0)
-    shared = [F.col("state_code"), pick(SURVEY_CODES, member).alias("industry_code"),
-              F.col("dataelement_code")]
+    rate = ("CASE WHEN member = 1 THEN 0.5D WHEN (member * 7 + month(ref_date)) % 13 <> 0 "
+            "THEN pow(2.0D, (member + month(ref_date)) % 5 - 1) END")
 
-    def observation(kind: str, value: Column) -> Column:
-        return F.struct(*shared, F.lit(kind).alias("ratelevel_code"), F.col("ref_date"), value.alias("value"))
+    def observation(kind: str, value: str) -> str:
+        return (f"named_struct('state_code', state_code, 'industry_code', {pick(SURVEY_CODES, 'member')}, "
+                f"'dataelement_code', dataelement_code, 'ratelevel_code', '{kind}', 'ref_date', ref_date, "
+                f"'value', {value})")
 
-    both = F.array(observation("L", F.col("level")), observation("R", F.when(has_rate, rate)))
-    return levels.select(F.inline(both)).where(F.col("value").isNotNull())
+    both = f"inline(array({observation('L', 'level')}, {observation('R', rate)}))"
+    return levels.selectExpr(both).where("value IS NOT NULL")
 
 
 def jolts_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of a series file: both seasonal kinds, some sub-areas, size classes and annual
     averages (``M13``)."""
-    supp, ship = F.col("l_suppkey"), F.col("l_shipdate")
-    series_id = F.concat(
-        F.lit("JT"),
-        F.when(F.col("l_returnflag") == "R", "U").otherwise("S"),
-        pick(SURVEY_CODES, supp),
-        pick(SURVEY_STATES, F.col("l_partkey")),
-        F.when(supp % 10 == 0, "12345").otherwise("00000"),
-        F.when(F.col("l_quantity") >= 45, "01").otherwise("00"),
-        pick(SURVEY_ELEMENTS, F.col("l_linenumber")),
-        F.when(F.col("l_linestatus") == "O", "L").otherwise("R"),
-    )
-    month = F.lpad(F.month(ship).cast("string"), 2, "0")
     # Behind a generator, so that ids are put together once and not once per predicate.
-    return shared(lineitem(spark, sf_dir).select(
-        series_id.alias("series_id"),
-        F.year(ship).cast("string").alias("year"),
-        F.concat(F.lit("M"), F.when(F.col("l_linenumber") == 7, "13").otherwise(month)).alias("period"),
-        F.col("l_quantity").cast("long").cast("string").alias("value"),
-        F.lit("").alias("footnote_codes"),
+    return shared(lineitem(spark, sf_dir).selectExpr(
+        "concat('JT', IF(l_returnflag = 'R', 'U', 'S'), "
+        f"{pick(SURVEY_CODES, 'l_suppkey')}, {pick(SURVEY_STATES, 'l_partkey')}, "
+        "IF(l_suppkey % 10 = 0, '12345', '00000'), IF(l_quantity >= 45, '01', '00'), "
+        f"{pick(SURVEY_ELEMENTS, 'l_linenumber')}, IF(l_linestatus = 'O', 'L', 'R')) AS series_id",
+        "CAST(year(l_shipdate) AS STRING) AS year",
+        "'M' || IF(l_linenumber = 7, '13', lpad(CAST(month(l_shipdate) AS STRING), 2, '0')) AS period",
+        "CAST(CAST(l_quantity AS BIGINT) AS STRING) AS value",
+        "'' AS footnote_codes",
     ))

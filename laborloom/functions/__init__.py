@@ -3,6 +3,7 @@
 from laborloom.functions.columns import (
     area_geography,
     ieee_div,
+    is_any,
     n_unique,
     positive_count,
     reference_date,
@@ -14,6 +15,7 @@ from laborloom.functions.columns import (
 __all__ = [
     "area_geography",
     "ieee_div",
+    "is_any",
     "n_unique",
     "positive_count",
     "reference_date",

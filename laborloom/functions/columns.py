@@ -35,30 +35,36 @@ def n_unique(name: str) -> Column:
 
 def positive_count(name: str) -> Column:
     """A count given as text, NULL when suppressed or zero."""
-    number = F.col(name).cast("double")
-    return F.when(number > 0, number)
+    return F.expr(f"CASE WHEN CAST({name} AS DOUBLE) > 0 THEN CAST({name} AS DOUBLE) END")
 
 
 def area_geography(area: str = "area_fips") -> list[Column]:
     """Geography of an area code: the nation, or the state named by the first two characters."""
-    is_nation = F.col(area) == fixed.NATIONAL_AREA
-    kind = F.when(is_nation, "national").otherwise("state")
-    code = F.when(is_nation, fixed.NATIONAL_CODE).otherwise(F.substring(area, 1, 2))
-    return [kind.alias("geographic_type"), code.alias("geographic_code")]
+    is_nation = f"{area} = '{fixed.NATIONAL_AREA}'"
+    return [
+        F.expr(f"CASE WHEN {is_nation} THEN 'national' ELSE 'state' END AS geographic_type"),
+        F.expr(f"CASE WHEN {is_nation} THEN '{fixed.NATIONAL_CODE}' ELSE substring({area}, 1, 2) END "
+               "AS geographic_code"),
+    ]
 
 
 def state_geography(state: str = "state_code") -> list[Column]:
     """Geography of a two-digit state code, where ``00`` is the nation."""
-    kind = F.when(F.col(state) == fixed.NATIONAL_CODE, "national").otherwise("state")
-    return [kind.alias("geographic_type"), F.col(state).alias("geographic_code")]
+    kind = f"CASE WHEN {state} = '{fixed.NATIONAL_CODE}' THEN 'national' ELSE 'state' END"
+    return [F.expr(f"{kind} AS geographic_type"), F.col(state).alias("geographic_code")]
 
 
-def reference_date(year: Column, qtr: Column, month_in_qtr: Column) -> Column:
+def reference_date(year: str, qtr: str, month_in_qtr: str) -> Column:
     """The 12th of a month, given its quarter and its place (1 to 3) in the quarter."""
-    return F.make_date(year, (qtr - 1) * 3 + month_in_qtr, F.lit(12))
+    return F.expr(f"make_date({year}, ({qtr} - 1) * 3 + {month_in_qtr}, 12)")
+
+
+def is_any(name: str, codes: list[str]) -> str:
+    """SQL text of membership in a list of codes."""
+    return f"{name} IN ({', '.join(repr(code) for code in codes)})"
 
 
 def series_columns(series_id: str = "series_id") -> list[Column]:
     """The fields of a 21-character series id."""
-    return [F.substring(series_id, start, length).alias(field)
+    return [F.expr(f"substring({series_id}, {start}, {length}) AS {field}")
             for field, start, length in fixed.SERIES_FIELDS]

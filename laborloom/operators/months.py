@@ -16,7 +16,7 @@ def months_long(quarters: DataFrame, keys: Sequence[str]) -> DataFrame:
     Takes ``year``, ``qtr`` and the month columns as numbers next to ``keys``; gives
     ``keys``, ``ref_date`` and ``employment``. Months without a positive count vanish.
     """
-    month_in_qtr = F.substring("month_column", len("month") + 1, 1).cast("int")
+    ref_date = reference_date("year", "qtr", "CAST(substring(month_column, 6, 1) AS INT)")
     return (
         quarters.unpivot(
             ids=list(dict.fromkeys([*keys, "year", "qtr"])),
@@ -25,6 +25,5 @@ def months_long(quarters: DataFrame, keys: Sequence[str]) -> DataFrame:
             valueColumnName="employment",
         )
         .where(F.col("employment") > 0)
-        .select(*keys, reference_date(F.col("year"), F.col("qtr"), month_in_qtr).alias("ref_date"),
-                "employment")
+        .select(*keys, ref_date.alias("ref_date"), "employment")
     )

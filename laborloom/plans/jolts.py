@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from laborloom import dimensions, schemas
 from laborloom import fixed_values as fixed
-from laborloom.functions import ieee_div, n_unique, series_columns, state_geography, sum_or_zero
+from laborloom.functions import ieee_div, is_any, n_unique, series_columns, state_geography, sum_or_zero
 from laborloom.operators import implied_employment, level_rate_pairs, lookup, observations
 
 OUTPUT_COLUMNS = schemas.JOLTS_OUTPUT.fieldNames()
@@ -39,25 +39,20 @@ def parse_series(series: DataFrame) -> DataFrame:
 
 def select_series(series: DataFrame, national_only: bool = False) -> DataFrame:
     """Seasonally adjusted, all-area, all-size monthly observations in the input contract."""
-    month = F.substring("period", 2, 2).cast("int")
-    in_scope = F.col("state_code") == fixed.NATIONAL_CODE if national_only else F.lit(True)
-    return (
-        parse_series(series)
-        .where(
-            in_scope
-            & (F.col("seasonal") == "S")
-            & F.col("period").rlike("^M(0[1-9]|1[0-2])$")
-            & (F.col("area_code") == "00000")
-            & (F.col("sizeclass_code") == "00")
-            & F.col("ratelevel_code").isin("L", "R")
-            & F.col("industry_code").isin(_source_codes())
-            & F.col("dataelement_code").isin(_source_elements())
-        )
-        .select(
-            "state_code", "industry_code", "dataelement_code", "ratelevel_code",
-            F.make_date(F.col("year").cast("int"), month, F.lit(1)).alias("ref_date"),
-            F.col("value").cast("double").alias("value"),
-        )
+    in_scope = " AND ".join([
+        "seasonal = 'S'",
+        "period RLIKE '^M(0[1-9]|1[0-2])$'",
+        "area_code = '00000'",
+        "sizeclass_code = '00'",
+        is_any("ratelevel_code", ["L", "R"]),
+        is_any("industry_code", _source_codes()),
+        is_any("dataelement_code", _source_elements()),
+        f"state_code = '{fixed.NATIONAL_CODE}'" if national_only else "true",
+    ])
+    return parse_series(series).where(in_scope).selectExpr(
+        "state_code", "industry_code", "dataelement_code", "ratelevel_code",
+        "make_date(CAST(year AS INT), CAST(substring(period, 2, 2) AS INT), 1) AS ref_date",
+        "CAST(value AS DOUBLE) AS value",
     )
 
 
@@ -77,19 +72,20 @@ def mapped(survey: DataFrame) -> DataFrame:
     spark = survey.sparkSession
     # The inner joins imply these filters; stated on the scan's own columns they reach it.
     known = (schemas.conform(survey, schemas.JOLTS_INPUT)
-             .where(F.col("industry_code").isin(_source_codes())
-                    & F.col("dataelement_code").isin(_source_elements()))
+             .where(is_any("industry_code", _source_codes()))
+             .where(is_any("dataelement_code", _source_elements()))
              .withColumnRenamed("industry_code", "source_code"))
     coded = lookup(lookup(known, dimensions.turnover_industries(spark), "source_code"),
                    dimensions.turnover_elements(spark), "dataelement_code")
-    kind = F.when(F.col("ratelevel_code") == "L", "level").otherwise("rate")
-    return coded.select("*", *state_geography(), kind.alias("rate_or_level")).select(*MAPPED_COLUMNS)
+    kind = F.expr("CASE WHEN ratelevel_code = 'L' THEN 'level' ELSE 'rate' END AS rate_or_level")
+    return coded.select("*", *state_geography(), kind).select(*MAPPED_COLUMNS)
 
 
 def national(survey: DataFrame, codes: Sequence[str]) -> DataFrame:
     """Distinct national observations of the given industries, read once for all uses."""
-    return observations(mapped(survey.where((F.col("state_code") == fixed.NATIONAL_CODE)
-                                            & F.col("industry_code").isin(_source_codes(codes)))))
+    nation = survey.where(is_any("state_code", [fixed.NATIONAL_CODE])).where(
+        is_any("industry_code", _source_codes(codes)))
+    return observations(mapped(nation))
 
 
 # --- derived domains ---------------------------------------------------------

@@ -13,14 +13,13 @@ Employment counts are integers, hence exact as doubles in any order of summation
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from laborloom import dimensions, schemas
 from laborloom import fixed_values as fixed
-from laborloom.functions import area_geography, n_unique, positive_count
+from laborloom.functions import area_geography, is_any, n_unique, positive_count
 from laborloom.operators import (
     CELL,
     MONTH_COLUMNS,
@@ -73,17 +72,16 @@ def total_rows(bulk: DataFrame) -> DataFrame:
     return _rows(totals)
 
 
-def _in_streams(streams: Sequence[str]) -> Column:
+def _in_streams(streams: Sequence[str]) -> str:
     """Membership in sub-populations, as a predicate on scan columns."""
-    return reduce(lambda a, b: a | b, [
-        F.col("own_code").isin(owners) & F.col("agglvl_code").isin(levels)
-        for name, owners, levels in fixed.STREAMS if name in streams])
+    return " OR ".join(f"({is_any('own_code', owners)} AND {is_any('agglvl_code', levels)})"
+                       for name, owners, levels in fixed.STREAMS if name in streams)
 
 
 def _numeric(bulk: DataFrame, *columns: str | Column) -> DataFrame:
     """``columns`` with the quarter and the three counts as numbers."""
     return schemas.conform(bulk, schemas.QCEW_INPUT).select(
-        *columns, F.col("year").cast("int").alias("year"), F.col("qtr").cast("int").alias("qtr"),
+        *columns, F.expr("CAST(year AS INT) AS year"), F.expr("CAST(qtr AS INT) AS qtr"),
         *[positive_count(m).alias(m) for m in MONTH_COLUMNS])
 
 
@@ -96,10 +94,8 @@ def _rows(cells: DataFrame) -> DataFrame:
 
 def classified(bulk: DataFrame, streams: Sequence[str] = SECTOR_STREAMS) -> DataFrame:
     """Input rows of the wanted sub-populations with geography and industry, not yet summed."""
-    is_total = F.col("own_code") == "0"
-    naics = F.when(is_total, dimensions.ANY_NAICS).otherwise(F.col("industry_code"))
-    keyed = _numeric(bulk.where(_in_streams(streams)), *area_geography(), "own_code", "agglvl_code",
-                     naics.alias("naics"))
+    naics = F.expr(f"CASE WHEN own_code = '0' THEN '{dimensions.ANY_NAICS}' ELSE industry_code END AS naics")
+    keyed = _numeric(bulk.where(_in_streams(streams)), *area_geography(), "own_code", "agglvl_code", naics)
     crosswalk = dimensions.sector_crosswalk(bulk.sparkSession, streams)
     return lookup(keyed, crosswalk, ["own_code", "agglvl_code", "naics"]).select(*CELL, *MONTH_COLUMNS)
 
