@@ -9,9 +9,8 @@ Texts are equal when identical after deleting space and ``\\x09-\\x0D``; null co
 empty, and all empty texts are equal. Of equal texts, the row with the most code points
 stays, then the smallest doc_id (null last). Other columns do not matter and pass unchanged.
 
-The filter has about BITS_PER_ROW bits a row and at most MAX_BLOCKS blocks of 4 KB (64 MB),
-the bound of what is broadcast. Past that size more rows shuffle than need to, up to all;
-the result is the same.
+The filter's size is bounded (see ``bloom``). Past that size more rows shuffle than need to,
+up to all; the result is the same.
 """
 
 from __future__ import annotations
@@ -19,12 +18,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from laborloom.llm.bloom import blocks_for, bloom_filter, tested
 from laborloom.llm.shared import join_groups, saved, text_or_empty
 
 WHITE = " \t\n\x0b\x0c\r"
-BITS_PER_ROW = 16
-BLOCK_BITS = 1 << 15
-MAX_BLOCKS = 1 << 14
 
 
 def normalised(text: Column | str = "text") -> Column:
@@ -35,43 +32,6 @@ def text_sha256(text: Column | str = "text") -> Column:
     return F.sha2(F.encode(normalised(text), "UTF-8"), 256)
 
 
-def _blocks(rows: int) -> int:
-    needed = max(1, rows * BITS_PER_ROW // BLOCK_BITS)
-    return min(MAX_BLOCKS, 1 << (needed - 1).bit_length())
-
-
-def _positions(sha: str, blocks: int) -> list[Column]:
-    """Block and two bit positions of a hash."""
-    spread = F.xxhash64(sha)
-    low = F.lit(BLOCK_BITS - 1).cast("long")
-    return [
-        spread.bitwiseAND(F.lit(blocks - 1).cast("long")).cast("int").alias("block"),
-        F.shiftrightunsigned(spread, 34).bitwiseAND(low).cast("int").alias("bit_a"),
-        F.shiftrightunsigned(spread, 49).bitwiseAND(low).cast("int").alias("bit_b"),
-    ]
-
-
-def repeat_filter(shas: DataFrame, blocks: int) -> DataFrame:
-    """(block, bits): the Bloom filter of hashes seen twice, from a column ``sha``."""
-    set_bits = shas.select(*_positions("sha", blocks)).select(
-        "block", F.explode(F.array_distinct(F.array("bit_a", "bit_b"))).alias("bit"))
-    twice = set_bits.groupBy("block", "bit").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1")
-    return twice.groupBy("block").agg(F.bitmap_construct_agg(F.col("bit").cast("long")).alias("bits"))
-
-
-def _is_set(position: str) -> Column:
-    return F.expr(f"((CAST(conv(hex(substring(bits, shiftright({position}, 3) + 1, 1)), 16, 10) AS INT) "
-                  f">> ({position} & 7)) & 1) = 1")
-
-
-def marked(rows: DataFrame, bloom: DataFrame, blocks: int) -> DataFrame:
-    """``rows`` with ``maybe_repeated``: false only where no other row has this ``sha``."""
-    positions = rows.select("*", *_positions("sha", blocks))
-    hit = F.coalesce(_is_set("bit_a") & _is_set("bit_b"), F.lit(False))
-    # At most MAX_BLOCKS rows of 4 KB.
-    return positions.join(F.broadcast(bloom), "block", "left").select(*rows.columns, hit.alias("maybe_repeated"))
-
-
 def decisions(docs: DataFrame) -> DataFrame:
     """One row per document, dropped ones too: doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -81,11 +41,11 @@ def decisions(docs: DataFrame) -> DataFrame:
     rows = saved(docs.select(
         "doc_id", F.length(text_or_empty()).alias("chars"), text_sha256().alias("sha")))
     total = rows.count()
-    blocks = _blocks(total)
-    tested = marked(rows, saved(repeat_filter(rows, blocks)), blocks)
-    alone = tested.where(~F.col("maybe_repeated")).select(
+    blocks = blocks_for(total)
+    marked = tested(rows, "sha", saved(bloom_filter(rows, "sha", blocks, least=2)), blocks)
+    alone = marked.where(~F.col("maybe")).select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "sha")
-    suspects = tested.where("maybe_repeated").select("doc_id", "chars", "sha")
+    suspects = marked.where("maybe").select("doc_id", "chars", "sha")
     best = F.struct(-F.col("chars"), F.col("doc_id").isNull(), F.col("doc_id").alias("id"))
     groups = saved(suspects.groupBy("sha").agg(
         F.min(best)["id"].alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
@@ -105,10 +65,10 @@ def survivors(docs: DataFrame) -> DataFrame:
     """
     keyed = docs.select(F.struct("*").alias("row"), text_sha256().alias("sha"))
     shas = saved(keyed.select("sha"))
-    blocks = _blocks(shas.count())
-    tested = marked(keyed, saved(repeat_filter(shas, blocks)), blocks)
+    blocks = blocks_for(shas.count())
+    marked = tested(keyed, "sha", saved(bloom_filter(shas, "sha", blocks, least=2)), blocks)
     order = F.struct(-F.length(text_or_empty(F.col("row.text"))), F.col("row.doc_id").isNull(),
                      F.col("row.doc_id"), F.col("row.text"))
-    alone = tested.where(~F.col("maybe_repeated")).select("row.*")
-    best = tested.where("maybe_repeated").groupBy("sha").agg(F.min_by("row", order).alias("row"))
+    alone = marked.where(~F.col("maybe")).select("row.*")
+    best = marked.where("maybe").groupBy("sha").agg(F.min_by("row", order).alias("row"))
     return alone.unionByName(best.select("row.*"))

@@ -30,8 +30,8 @@ from laborloom.llm.shared import ship
 
 LENGTH = 1024
 END_ID = 0
-SENTENCE_PENALTY = 4
-INSIDE_PENALTY = 64
+SENTENCE_PENALTY = 2
+INSIDE_PENALTY = 16
 BLOCK_TOKENS = 1 << 20
 SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long")
 

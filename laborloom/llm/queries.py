@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laborloom.llm import bpe, chat_trees, exact_dedup, fingerprints, license_scan, packing
+from laborloom.llm import (
+    bpe, chat_trees, exact_dedup, fingerprints, license_scan, minhash_dedup, packing, substring_dedup)
 from laborloom.llm.shared import documents
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -27,6 +28,11 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(documents(spark, sf_dir))
 
 
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.deduplicated(documents(spark, sf_dir), digest=True)
+    return kept.withColumnRenamed("kept", "kept_sha256")
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan.scanned(documents(spark, sf_dir))
     return found.select("doc_id", F.array_join("sentence_ids", ",").alias("sentence_ids"),
@@ -37,6 +43,10 @@ def op8_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.encoded(documents(spark, sf_dir), VOCABULARY), VOCABULARY)
 
 
+def op9_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(documents(spark, sf_dir), words=4, percent=80)
+
+
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     added = spark.range(2).select(
@@ -57,6 +67,6 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        op1_document_fingerprints, op2_packing, op5_exact_dedup, op7_license_scan, op8_bpe_round_trip,
-        op10_chat_formatting)
+        op1_document_fingerprints, op2_packing, op5_exact_dedup, op6_substring_dedup, op7_license_scan,
+        op8_bpe_round_trip, op9_minhash_near_dedup, op10_chat_formatting)
 }

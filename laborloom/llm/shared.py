@@ -9,10 +9,13 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: A key with more than this share of all rows counts as hot; there are fewer than HOT_SHARE of them.
 HOT_SHARE = 1024
+#: Rows looked at for frequent keys, and how often a key must be among them.
+SAMPLED, SEEN_OFTEN = 200_000, 100
 
 
 def ship(spark: SparkSession) -> None:
@@ -73,6 +76,66 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, weight: str, total
     return beside.unionByName(moved)
 
 
+def frequent_keys(rows: DataFrame, key: str, total: int) -> DataFrame:
+    """Keys that a sample shows often: at most SAMPLED / SEEN_OFTEN and some, whatever the input."""
+    share = min(1.0, SAMPLED / max(1, total))
+    return (rows.select(key).sample(share, 7).groupBy(key).count()
+            .where(F.col("count") >= SEEN_OFTEN).select(key).limit(2 * SAMPLED // SEEN_OFTEN))
+
+
+def with_bounds(rows: DataFrame, key: str, value: str) -> DataFrame:
+    """Saved ``rows`` with ``lo`` and ``hi``, the least and greatest ``value`` of their key.
+
+    Frequent keys are summed up by partial aggregation and their rows stay where they are;
+    only the others are brought together. The sample decides the way, not the result.
+    """
+    total = rows.count()
+    frequent = saved(frequent_keys(rows, key, total))
+    bounds = rows.join(F.broadcast(frequent), key, "left_semi").groupBy(key).agg(
+        F.min(value).alias("lo"), F.max(value).alias("hi"))
+    # As many rows as there are frequent keys.
+    hot = rows.join(F.broadcast(bounds), key)
+    whole = W.partitionBy(key)
+    cold = rows.join(F.broadcast(frequent), key, "left_anti").withColumns(
+        {"lo": F.min(value).over(whole), "hi": F.max(value).over(whole)})
+    return hot.select(*cold.columns).unionByName(cold)
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, component) for the nodes of saved ``links`` (a, b): the smallest node reachable.
+
+    Each round hooks every node to its smallest neighbour, follows the hooks to their ends
+    by doubling and contracts the links, so the nodes left at least halve.
+    """
+    spark = links.sparkSession
+    links = saved(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    maps: list[DataFrame] = []
+    while not links.isEmpty():
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        hooks = saved(both.groupBy("a").agg(F.least("a", F.min("b")).alias("up")).withColumnRenamed("a", "node"))
+        while True:
+            ends = hooks.select(F.col("node").alias("up"), F.col("up").alias("top"))
+            jumped = saved(hooks.join(ends, "up").select("node", F.col("top").alias("up"),
+                                                         (F.col("top") != F.col("up")).alias("moved")))
+            still = not jumped.where("moved").isEmpty()
+            hooks = jumped.select("node", "up")
+            if not still:
+                break
+        maps.append(hooks)
+        a = hooks.select(F.col("node").alias("a"), F.col("up").alias("new_a"))
+        b = hooks.select(F.col("node").alias("b"), F.col("up").alias("new_b"))
+        moved = links.join(a, "a").join(b, "b").where("new_a <> new_b")
+        links = saved(moved.select(F.least("new_a", "new_b").alias("a"), F.greatest("new_a", "new_b").alias("b")).distinct())
+    if not maps:
+        return spark.createDataFrame([], "node long, component long")
+    found = maps[0].withColumnRenamed("up", "component")
+    for hooks in maps[1:]:
+        onward = hooks.select(F.col("node").alias("component"), "up")
+        found = found.join(onward, "component", "left").select(
+            "node", F.coalesce("up", "component").alias("component"))
+    return saved(found)
+
+
 def text_or_empty(text: str | Column = "text") -> Column:
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))
 
