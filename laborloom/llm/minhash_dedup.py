@@ -216,3 +216,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = PERCENT) ->
     return grouped.unionByName(empty).select(
         id_of("doc").alias("doc_id"), "n_shingles", id_of("component").alias("component_id"),
         (F.col("doc") == F.col("component")).alias("kept"))
+
+
+def survivors(docs: DataFrame, words: int = 5, percent: int = PERCENT) -> DataFrame:
+    """The documents of which no near-duplicate with a smaller id is left, all columns as they came.
+
+    Only texts of documents that may have to go shuffle.
+    """
+    gone = saved(near_duplicates(docs, words, percent).where(~F.col("kept") & F.col("doc_id").isNotNull())
+                 .select("doc_id").distinct())
+    blocks = blocks_for(gone.count())
+    rows = docs.select(F.struct("*").alias("row"), "doc_id")
+    marked = tested(rows, "doc_id", saved(bloom_filter(gone, "doc_id", blocks)), blocks)
+    kept = marked.where(~F.col("maybe")).select("row")
+    left = marked.where("maybe").join(gone, "doc_id", "left_anti").select("row")
+    return kept.unionByName(left).select("row.*")

@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laborloom.llm import (
-    bpe, chat_trees, exact_dedup, fingerprints, license_scan, minhash_dedup, packing, substring_dedup)
+    bpe, chat_trees, exact_dedup, fingerprints, license_scan, minhash_dedup, packing, secret_scan,
+    substring_dedup, toxicity)
 from laborloom.llm.shared import documents
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,6 +25,19 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(documents(spark, sf_dir), VOCABULARY)
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return secret_scan.scanned(docs, secret_scan.network(docs))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = toxicity.fitted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.scored(docs, model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(documents(spark, sf_dir))
 
@@ -67,6 +81,6 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
-        op1_document_fingerprints, op2_packing, op5_exact_dedup, op6_substring_dedup, op7_license_scan,
+        op1_document_fingerprints, op2_packing, op3_secret_scan, op4_toxicity, op5_exact_dedup, op6_substring_dedup, op7_license_scan,
         op8_bpe_round_trip, op9_minhash_near_dedup, op10_chat_formatting)
 }
