@@ -14,13 +14,17 @@ from pyspark.sql import functions as F
 
 #: A key with more than this share of all rows counts as hot; there are fewer than HOT_SHARE of them.
 HOT_SHARE = 1024
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 500
 #: Rows looked at for frequent keys, and how often a key must be among them.
 SAMPLED, SEEN_OFTEN = 200_000, 100
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package, wherever the driver found it."""
+    """Let Python workers import this package, wherever the driver found it, and give them
+    batches that stay small with long texts, unless the session has its own batch size."""
     context = spark.sparkContext
+    if spark.conf.get(BATCH_SETTING) == "10000":  # Spark's default
+        spark.conf.set(BATCH_SETTING, str(BATCH_ROWS))
     if getattr(context, "_laborloom_shipped", False):
         return
     package = Path(__file__).resolve().parents[1]
