@@ -10,6 +10,8 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
+
+from laborloom.operators import shared
 from pyspark.sql import functions as F
 
 #: A key with more than this share of all rows counts as hot; there are fewer than HOT_SHARE of them.
@@ -89,6 +91,7 @@ def frequent_keys(rows: DataFrame, key: str, total: int) -> DataFrame:
 
 def with_bounds(rows: DataFrame, key: str, value: str) -> DataFrame:
     """Saved ``rows`` with ``lo`` and ``hi``, the least and greatest ``value`` of their key.
+    The values are not null.
 
     Frequent keys are summed up by partial aggregation and their rows stay where they are;
     only the others are brought together. The sample decides the way, not the result.
@@ -97,12 +100,12 @@ def with_bounds(rows: DataFrame, key: str, value: str) -> DataFrame:
     frequent = saved(frequent_keys(rows, key, total))
     bounds = rows.join(F.broadcast(frequent), key, "left_semi").groupBy(key).agg(
         F.min(value).alias("lo"), F.max(value).alias("hi"))
-    # As many rows as there are frequent keys.
-    hot = rows.join(F.broadcast(bounds), key)
+    # One lookup of all rows in as many rows as there are frequent keys.
+    looked_up = shared(rows.join(F.broadcast(saved(bounds)), key, "left"))
+    hot = looked_up.where("lo IS NOT NULL")
     whole = W.partitionBy(key)
-    cold = rows.join(F.broadcast(frequent), key, "left_anti").withColumns(
-        {"lo": F.min(value).over(whole), "hi": F.max(value).over(whole)})
-    return hot.select(*cold.columns).unionByName(cold)
+    cold = looked_up.where("lo IS NULL").withColumns({"lo": F.min(value).over(whole), "hi": F.max(value).over(whole)})
+    return hot.unionByName(cold)
 
 
 def components(links: DataFrame) -> DataFrame:
