@@ -98,8 +98,8 @@ def with_bounds(rows: DataFrame, key: str, value: str) -> DataFrame:
     """
     total = rows.count()
     frequent = saved(frequent_keys(rows, key, total))
-    bounds = rows.join(F.broadcast(frequent), key, "left_semi").groupBy(key).agg(
-        F.min(value).alias("lo"), F.max(value).alias("hi"))
+    marked = shared(rows.join(F.broadcast(frequent.withColumn("often", F.lit(True))), key, "left"))
+    bounds = marked.where("often").groupBy(key).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
     # One lookup of all rows in as many rows as there are frequent keys.
     looked_up = shared(rows.join(F.broadcast(saved(bounds)), key, "left"))
     hot = looked_up.where("lo IS NOT NULL")
