@@ -8,7 +8,7 @@ estimate is far below the threshold go; the others are compared on their full se
 No bucket is spelled out in pairs. Its members are first compared with its smallest member
 only and the links so found merged into components. Members of one component need no
 further comparison; where a bucket still holds several, their members are compared block by
-block and only pairs that pass the sketch leave the task. A pair of similarity 0.8 misses
+block and only pairs that pass the sketch leave the task, once each. A pair of similarity 0.8 misses
 all bands with probability 3e-6.
 
 A-Z are lower-cased, words are runs without space or ``\\x09-\\x0D``, a set holds the distinct
@@ -30,11 +30,12 @@ from laborloom.llm.bloom import blocks_for, bloom_filter, tested
 from laborloom.llm.shared import components, join_groups, saved, ship, with_bounds
 
 BANDS, ROWS = 32, 5
-SAMPLES = BANDS * ROWS
-SKETCH_BITS = 512
-#: Largest population count of a pair's XOR that is compared on full sets: a similarity of
-#: about 0.5, more than five standard deviations below 0.8.
-MOST_ODD = 116
+#: The first BANDS * ROWS samples make the bands, all of them the sketch.
+SAMPLES = 640
+SKETCH_BITS = 2048
+#: Largest population count of a pair's XOR that is compared on full sets: 227 is expected at
+#: a similarity of 0.8, with a standard deviation of 18; 308 stands for about 0.71.
+MOST_ODD = 308
 PERCENT = 80
 IN_BLOCK = 256
 LAST = (1 << 63) - 1
@@ -163,15 +164,16 @@ def _between_components(entries: DataFrame, found: DataFrame, classes: DataFrame
         "blocks", F.ceil(F.col("members") / IN_BLOCK).cast("int")).withColumn(
         "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(
-        classes.select("node", "sketch"), "node").select(
+        classes.select("node", "sketch", "bands"), "node").select(
         "key", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"),
-        "own", "node", "component", "sketch")
+        "own", "node", "component", "sketch", "bands")
 
     def close(table: pa.Table) -> pa.Table:
         left, right = (table.column(c)[0].as_py() for c in ("left", "right"))
         own, node, component = (table.column(c).to_numpy() for c in ("own", "node", "component"))
-        sketch = table.column("sketch").combine_chunks().flatten().to_numpy().view(np.uint64)
-        sketch = sketch.reshape(len(node), -1)
+        sketch, bands = (table.column(c).combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(node), -1)
+                         for c in ("sketch", "bands"))
+        band = int(np.flatnonzero((bands == bands[0]).all(axis=0) & (bands[0].view(np.int64) == table.column("key")[0].as_py()))[0])
         x, y = np.flatnonzero(own == left), np.flatnonzero(own == right)
         first, second = [], []
         for i in x.tolist():
@@ -179,6 +181,8 @@ def _between_components(entries: DataFrame, found: DataFrame, classes: DataFrame
             hit = y[(odd <= MOST_ODD) & (component[y] != component[i])]
             if left == right:
                 hit = hit[node[hit] > node[i]]
+            # Of the buckets that two share, the first one speaks for the pair.
+            hit = hit[(bands[hit, :band] != bands[i, :band]).all(axis=1)]
             first.append(np.minimum(node[hit], node[i]))
             second.append(np.maximum(node[hit], node[i]))
         none = np.zeros(0, dtype=np.int64)
