@@ -61,14 +61,12 @@ def domain_supersectors(domain: str) -> list[str]:
 
 def sector_supersector() -> dict[str, str]:
     """Every sector a fact can carry → its supersector, nondurable manufacturing included."""
-    pairs = {s: code for code, sectors in supersector_components().items() for s in sectors}
-    return {**pairs, fixed.NONDURABLE_SECTOR: fixed.MANUFACTURING_SUPERSECTOR}
+    return {sector: supersector for sector, supersector, _ in fixed.SECTORS}
 
 
 def naics_sector() -> dict[str, str]:
     """Two-digit NAICS → private sector; manufacturing comes from three digits instead."""
-    identity = {code: code for code in sector_codes() if code != fixed.DURABLE_SECTOR}
-    return {**identity, **fixed.NAICS_RANGE_SECTOR}
+    return {naics: sector for sector, _, codes in fixed.SECTORS for naics in codes}
 
 
 def manufacturing_sector() -> dict[str, str]:
@@ -92,8 +90,11 @@ def division_region() -> dict[str, str]:
 
 
 def state_region() -> dict[str, str]:
-    regions_of = division_region()
-    return {fips: regions_of[division] for fips, division in state_division().items()}
+    """Every state's region, region by region."""
+    found: dict[str, str] = {}
+    for division, _, region in fixed.DIVISIONS:
+        found.update((fips, region) for fips, _, home in fixed.STATES if home == division)
+    return found
 
 
 # --- dimension tables --------------------------------------------------------

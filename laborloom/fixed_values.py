@@ -96,8 +96,32 @@ DURABLE_SECTOR = "31"
 DURABLE_NAICS3 = ["321", "327", "331", "332", "333", "334", "335", "336", "337", "339"]
 MANUFACTURING_SUPERSECTOR = "30"
 
-# Two-digit range codes of the quarterly census → sector.
-NAICS_RANGE_SECTOR = {"44-45": "44", "48-49": "48"}
+# Every sector a fact can carry, as (sector, supersector, two-digit NAICS codes).
+# Manufacturing comes from three digits and government from ownership, so these have none.
+SECTORS = [
+    ("21", "10", ["21"]),
+    ("23", "20", ["23"]),
+    ("31", "30", []),
+    ("32", "30", []),
+    ("22", "40", ["22"]),
+    ("42", "40", ["42"]),
+    ("44", "40", ["44", "44-45"]),
+    ("48", "40", ["48", "48-49"]),
+    ("51", "50", ["51"]),
+    ("52", "55", ["52"]),
+    ("53", "55", ["53"]),
+    ("54", "60", ["54"]),
+    ("55", "60", ["55"]),
+    ("56", "60", ["56"]),
+    ("61", "65", ["61"]),
+    ("62", "65", ["62"]),
+    ("71", "70", ["71"]),
+    ("72", "70", ["72"]),
+    ("81", "80", ["81"]),
+    ("91", "90", []),
+    ("92", "90", []),
+    ("93", "90", []),
+]
 
 # Supersectors holding exactly one sector.
 SINGLE_SECTOR_SUPERSECTORS = {"20": "23", "50": "51", "80": "81"}

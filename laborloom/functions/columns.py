@@ -4,6 +4,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from laborloom import fixed_values as fixed
+from laborloom.schemas import strict_cast
 
 
 def ieee_div(a: Column, b: Column) -> Column:
@@ -34,8 +35,9 @@ def n_unique(name: str) -> Column:
 
 
 def positive_count(name: str) -> Column:
-    """A count given as text, NULL when suppressed or zero."""
-    return F.expr(f"CASE WHEN CAST({name} AS DOUBLE) > 0 THEN CAST({name} AS DOUBLE) END")
+    """A count given as text, NULL when suppressed or zero; malformed text stops the query."""
+    number = strict_cast(name, "DOUBLE")
+    return F.expr(f"CASE WHEN {number} > 0 THEN {number} END")
 
 
 def area_geography(area: str = "area_fips") -> list[Column]:
@@ -55,8 +57,10 @@ def state_geography(state: str = "state_code") -> list[Column]:
 
 
 def reference_date(year: str, qtr: str, month_in_qtr: str) -> Column:
-    """The 12th of a month, given its quarter and its place (1 to 3) in the quarter."""
-    return F.expr(f"make_date({year}, ({qtr} - 1) * 3 + {month_in_qtr}, 12)")
+    """The 12th of a month, given its quarter and its place (1 to 3) in the quarter; a quarter
+    that does not exist stops the query."""
+    return F.expr(f"CASE WHEN {qtr} NOT BETWEEN 1 AND 4 THEN CAST(raise_error('no such quarter: ' || {qtr}) AS DATE) "
+                  f"ELSE make_date({year}, ({qtr} - 1) * 3 + {month_in_qtr}, 12) END")
 
 
 def is_any(name: str, codes: list[str]) -> str:

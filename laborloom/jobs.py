@@ -40,7 +40,9 @@ def run_qcew(spark: SparkSession, bulk_path: str, output: str) -> int | None:
 
 def run_jolts(spark: SparkSession, jolts_path: str, output: str) -> int | None:
     survey = read_jolts(spark, jolts_path)
-    return None if jolts.is_empty(survey) else write_counted(jolts.ordered(jolts.to_ces(survey)), output)
+    return None if jolts.is_empty(survey) else write_counted(
+        # Sampling for the order then reads shuffled rows and not the input again.
+        jolts.ordered(balanced(jolts.to_ces(survey))), output)
 
 
 def run_series(spark: SparkSession, series_path: str, output: str) -> int | None:
@@ -66,9 +68,9 @@ def main(argv: Sequence[str] | None = None) -> int:
     spark = SparkSession.builder.appName(f"laborloom-{args.command}").getOrCreate()
     rows = run(spark, args.source, args.output)
     if not rows:
-        print("No data to write.", file=sys.stderr)
+        print(f"{args.command}: the input gives no rows, nothing written", file=sys.stderr)
         return 1
-    print(f"Wrote {args.output} ({rows:,} rows)")
+    print(f"{args.command}: {rows} rows in {args.output}")
     return 0
 
 

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from laborloom.functions import ieee_div
 from laborloom.operators.sharing import shared
 
+#: Copies of a pair that one task writes out at a time.
+COPIES_IN_BLOCK = 4096
 SERIES_KEY = ["geographic_type", "geographic_code", "industry_code", "data_element", "ref_date"]
 
 
@@ -58,13 +60,20 @@ def level_rate_pairs(observed: DataFrame) -> DataFrame:
     """Each level next to each rate of its key, with the employment they imply.
 
     For series whose pairs are themselves output rows, so each of their copies is a row too.
+    Copies are written out in blocks that are first spread over tasks, so that neither an
+    array nor a task grows with a heavily repeated pair.
     """
     pairs = _side(observed, "level").join(_side(observed, "rate"), on=SERIES_KEY)
     copies = F.col("level_copies") * F.col("rate_copies")
-    return pairs.select(
+    last = F.floor((copies - 1) / COPIES_IN_BLOCK)
+    counted = pairs.select(*SERIES_KEY, "level", "rate", copies.alias("copies"), last.alias("last"))
+    blocks = counted.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))).alias("block"))
+    spread = blocks.repartition(*SERIES_KEY, "level", "rate", "block")
+    rest = F.least(F.lit(COPIES_IN_BLOCK).cast("long"), F.col("copies") - F.col("block") * COPIES_IN_BLOCK)
+    return spread.select(
         *SERIES_KEY,
         F.col("level").alias("level_value"),
         F.col("rate").alias("rate_value"),
         ieee_div(F.col("level") * 100.0, F.col("rate")).alias("employment"),
-        F.explode(F.sequence(F.lit(1).cast("long"), copies)).alias("copy"),
+        F.explode(F.sequence(F.lit(1).cast("long"), rest)).alias("copy"),
     ).drop("copy")

@@ -87,7 +87,8 @@ def place_names(bulk: DataFrame) -> DataFrame:
 
 def fips_by_name(bulk: DataFrame) -> DataFrame:
     """Sector rows keyed by area name, resolved back to FIPS through the name."""
-    facts = _place_names(qcew.sectors(bulk))
+    names = dimensions.states(bulk.sparkSession).select(F.col("fips").alias("geographic_code"), "state_name")
+    facts = lookup(qcew.sectors(bulk), names, "geographic_code", how="left")
     is_nation = F.col("geographic_type") == "national"
     named = facts.withColumn("area_name", F.when(is_nation, fixed.NATIONAL_NAME).otherwise(F.col("state_name")))
     by_name = named.select("area_name", "industry_code", "ref_date", "employment")

@@ -44,11 +44,9 @@ GEOGRAPHY_LEVELS = ["division", "region"]
 def year_range(bulk: DataFrame, start_year: int, end_year: int) -> DataFrame:
     """Rows of the years ``start_year`` to ``end_year``, both included.
 
-    The text comparison reaches the file scan (and prunes a partitioning by year); the
-    numeric one decides.
+    The number decides, however the text spells it; on a partitioning by year it prunes.
     """
-    text = F.col("year").cast("string").between(f"{start_year:04d}", f"{end_year:04d}")
-    return bulk.where(text & F.col("year").cast("int").between(start_year, end_year))
+    return bulk.where(F.col("year").cast("int").between(start_year, end_year))
 
 
 def monthly(bulk: DataFrame) -> DataFrame:
@@ -81,7 +79,7 @@ def _in_streams(streams: Sequence[str]) -> str:
 def _numeric(bulk: DataFrame, *columns: str | Column) -> DataFrame:
     """``columns`` with the quarter and the three counts as numbers."""
     return schemas.conform(bulk, schemas.QCEW_INPUT).select(
-        *columns, F.expr("CAST(year AS INT) AS year"), F.expr("CAST(qtr AS INT) AS qtr"),
+        *columns, *[F.expr(schemas.strict_cast(c, "INT")).alias(c) for c in ("year", "qtr")],
         *[positive_count(m).alias(m) for m in MONTH_COLUMNS])
 
 

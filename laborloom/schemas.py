@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -35,9 +36,20 @@ JOLTS_OUTPUT = _struct(
 SERIES_INPUT = _struct(series_id=_S, year=_S, period=_S, value=_S, footnote_codes=_S)
 
 
+def strict_cast(name: str, kind: str) -> str:
+    """SQL text of a cast that stops on a value it cannot convert, in any session."""
+    text = f"'malformed {name}: ' || CAST({name} AS STRING)"
+    return (f"CASE WHEN {name} IS NOT NULL AND try_cast({name} AS {kind}) IS NULL "
+            f"THEN CAST(raise_error({text}) AS {kind}) ELSE try_cast({name} AS {kind}) END")
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Project ``df`` to the columns of ``schema``; a missing column is an error."""
+    """Project ``df`` to the columns and types of ``schema``; a missing column is an error."""
     missing = [name for name in schema.fieldNames() if name not in df.columns]
     if missing:
         raise ValueError(f"input lacks columns: {', '.join(missing)}")
-    return df.select(*schema.fieldNames())
+    stored = df.schema
+    return df.select(*[
+        F.col(f.name) if stored[f.name].dataType == f.dataType
+        else F.expr(strict_cast(f.name, f.dataType.simpleString())).alias(f.name)
+        for f in schema])

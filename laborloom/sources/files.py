@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,15 +12,33 @@ from laborloom import schemas
 log = logging.getLogger(__name__)
 
 
-def _parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Parquet under a stated schema; a missing path is an empty frame of that schema."""
+def _or_none(frame: Callable[[], DataFrame], path: str) -> DataFrame | None:
+    """The frame, or None if its path does not exist."""
     try:
-        return spark.read.schema(schema).parquet(str(path))
+        return frame()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         log.warning("input not found: %s", path)
+        return None
+
+
+def _parquet(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Parquet under its own schema, brought to the stated one; a missing path is an empty frame.
+
+    Columns that folders name are read as text, since inferring their types would lose
+    leading zeros.
+    """
+    stored = _or_none(lambda: spark.read.parquet(str(path)), path)
+    if stored is None:
         return spark.createDataFrame([], schema)
+    first = stored.select("_metadata.file_path").head(1)
+    in_path = first[0][0] if first else ""
+    named = T.StructType([
+        schema[f.name] if f.name in schema.fieldNames() and f"/{f.name}=" in in_path else f for f in stored.schema])
+    if named != stored.schema:
+        stored = spark.read.schema(named).parquet(str(path))
+    return schemas.conform(stored, schema)
 
 
 def read_qcew(spark: SparkSession, path: str) -> DataFrame:
@@ -31,8 +50,10 @@ def read_jolts(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_series(spark: SparkSession, path: str) -> DataFrame:
-    """Tab-separated series file with a header line; ids and values are stripped of padding."""
-    return (spark.read.schema(schemas.SERIES_INPUT)
-            .options(sep="\t", header=True, enforceSchema=True,
-                     ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True)
-            .csv(str(path)))
+    """Tab-separated series file with a header line, whose names decide; ids and values are
+    stripped of padding. A missing path is an empty frame."""
+    rows = _or_none(lambda: spark.read.options(
+        sep="\t", header=True, ignoreLeadingWhiteSpace=True, ignoreTrailingWhiteSpace=True).csv(str(path)), path)
+    if rows is None:
+        return spark.createDataFrame([], schemas.SERIES_INPUT)
+    return schemas.conform(rows.toDF(*[c.strip() for c in rows.columns]), schemas.SERIES_INPUT)

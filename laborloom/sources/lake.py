@@ -45,8 +45,10 @@ class LakeSource:
         """Disjoint slices, one per quarter and one for the rest, each with its own task."""
         quarters = [f"year = '{year:04d}' AND qtr = '{qtr}'"
                     for year in range(start_year, end_year + 1) for qtr in range(1, 5)]
-        rest = (f"year BETWEEN '{start_year:04d}' AND '{end_year:04d}' "
-                "AND (qtr NOT IN ('1', '2', '3', '4') OR qtr IS NULL)")
+        spelled = ", ".join(f"'{year:04d}'" for year in range(start_year, end_year + 1))
+        # Other spellings of these years and other quarters.
+        rest = (f"CAST(trim(year) AS INTEGER) BETWEEN {start_year} AND {end_year} "
+                f"AND (year NOT IN ({spelled}) OR qtr NOT IN ('1', '2', '3', '4') OR qtr IS NULL)")
         return [*quarters, rest]
 
     def state_predicates(self) -> list[str]:
