@@ -4,6 +4,8 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from checks.compare import connect, difference
+from checks.oracle import ORACLE_SQL
+from checks.queries import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -15,13 +17,14 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(ORACLE_SQL)
+    assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
 def test_entry_gives_rows(spark):
     assert entry(spark).limit(1).count() == 1
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, connection, name):
     assert difference(spark, connection, SMALL, name) is None
