@@ -10,8 +10,6 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
-
-from laborloom.operators import shared
 from pyspark.sql import functions as F
 
 #: A key with more than this share of all rows counts as hot; there are fewer than HOT_SHARE of them.
@@ -82,30 +80,41 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, weight: str, total
     return beside.unionByName(moved)
 
 
-def frequent_keys(rows: DataFrame, key: str, total: int) -> DataFrame:
-    """Keys that a sample shows often: at most SAMPLED / SEEN_OFTEN and some, whatever the input."""
+def frequent_keys(rows: DataFrame, key: str, total: int) -> list[tuple[int, int]]:
+    """Keys that a sample shows often, each with a number of parts, a power of two, that leaves
+    at most about a quarter of an even partition in one part. Keys: at most SAMPLED / SEEN_OFTEN
+    and some; parts: in proportion to the partitions; whatever the input."""
     share = min(1.0, SAMPLED / max(1, total))
-    return (rows.select(key).sample(share, 7).groupBy(key).count()
-            .where(F.col("count") >= SEEN_OFTEN).select(key).limit(2 * SAMPLED // SEEN_OFTEN))
+    seen = (rows.select(key).sample(share, 7).groupBy(key).count()
+            .where(F.col("count") >= SEEN_OFTEN).limit(2 * SAMPLED // SEEN_OFTEN)).collect()
+    wanted = 4 * partitions(rows.sparkSession) / max(1.0, share * total)
+    return [(row[0], 1 << int(row[1] * wanted).bit_length()) for row in seen]
 
 
 def with_bounds(rows: DataFrame, key: str, value: str) -> DataFrame:
     """Saved ``rows`` with ``lo`` and ``hi``, the least and greatest ``value`` of their key.
-    The values are not null.
+    The keys are longs; neither they nor the values are null.
 
-    Frequent keys are summed up by partial aggregation and their rows stay where they are;
-    only the others are brought together. The sample decides the way, not the result.
+    Frequent keys are cut into parts. Their bounds come from a partial aggregation, and a row
+    with the bounds joins each part, so no part needs the others. The sample decides the way,
+    not the result.
     """
-    total = rows.count()
-    frequent = saved(frequent_keys(rows, key, total))
-    marked = shared(rows.join(F.broadcast(frequent.withColumn("often", F.lit(True))), key, "left"))
-    bounds = marked.where("often").groupBy(key).agg(F.min(value).alias("lo"), F.max(value).alias("hi"))
-    # One lookup of all rows in as many rows as there are frequent keys.
-    looked_up = shared(rows.join(F.broadcast(saved(bounds)), key, "left"))
-    hot = looked_up.where("lo IS NOT NULL")
-    whole = W.partitionBy(key)
-    cold = looked_up.where("lo IS NULL").withColumns({"lo": F.min(value).over(whole), "hi": F.max(value).over(whole)})
-    return hot.unionByName(cold)
+    frequent = frequent_keys(rows, key, rows.count())
+    part, whole = F.lit(0), W.partitionBy(key, "part")
+    spread = F.xxhash64(*rows.columns, F.spark_partition_id())
+    for parts in sorted({n for _, n in frequent}):
+        own = [k for k, n in frequent if n == parts]
+        part = F.when(F.col(key).isin(own), F.pmod(spread, F.lit(parts)).cast("int")).otherwise(part)
+    parted = rows.withColumns({"lo": F.col(value), "hi": F.col(value), "part": part})
+    if frequent:
+        sizes = rows.sparkSession.createDataFrame(frequent, f"{key} long, parts int")
+        bounds = rows.where(F.col(key).isin([k for k, _ in frequent])).groupBy(key).agg(
+            F.min(value).alias("lo"), F.max(value).alias("hi"))
+        each = bounds.join(F.broadcast(sizes), key).select(
+            key, "lo", "hi", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
+        parted = parted.unionByName(each, allowMissingColumns=True)
+    bounded = parted.withColumns({"lo": F.min("lo").over(whole), "hi": F.max("hi").over(whole)})
+    return bounded.where(F.col(value).isNotNull()).drop("part")
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ from laborloom.llm import (
     toxicity)
 from laborloom.llm.oracle import ORACLE_SQL
 from laborloom.llm.queries import QUERIES, VOCABULARY
-from laborloom.llm.shared import components, saved
+from laborloom.llm.shared import components, frequent_keys, saved, with_bounds
 
 SF = "/root/testdata/sf0.001"
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -142,6 +142,15 @@ def test_near_copies_of_one_text_whose_links_form_a_chain(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == near_groups(rows, 4)
 
 
+def test_bounds_of_frequent_and_rare_keys(spark):
+    rows = [(7, n % 900) for n in range(3_000)] + [(8, n) for n in range(150)] + [(100 + n % 40, n) for n in range(400)]
+    frame = saved(spark.createDataFrame(rows, "key long, value long"))
+    assert {k for k, _ in frequent_keys(frame, "key", frame.count())} == {7, 8}
+    want = Counter((k, v, min(w for j, w in rows if j == k), max(w for j, w in rows if j == k)) for k, v in rows)
+    assert Counter(map(tuple, with_bounds(frame, "key", "value").select("key", "value", "lo", "hi").collect())) == want
+    assert with_bounds(saved(frame.limit(0)), "key", "value").count() == 0
+
+
 def test_components_of_a_long_path(spark):
     links = spark.range(300).selectExpr("(id * 7) % 301 AS a", "((id + 1) * 7) % 301 AS b")
     assert {r.component for r in components(saved(links)).collect()} == {0}
