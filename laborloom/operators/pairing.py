@@ -16,6 +16,8 @@ from laborloom.operators.sharing import shared
 
 #: Copies of a pair that one task writes out at a time.
 COPIES_IN_BLOCK = 4096
+#: Parts that the levels of one key are cut into before each meets all the key's rates.
+LEVEL_PARTS = 16
 SERIES_KEY = ["geographic_type", "geographic_code", "industry_code", "data_element", "ref_date"]
 
 
@@ -61,9 +63,14 @@ def level_rate_pairs(observed: DataFrame) -> DataFrame:
 
     For series whose pairs are themselves output rows, so each of their copies is a row too.
     Copies are written out in blocks that are first spread over tasks, so that neither an
-    array nor a task grows with a heavily repeated pair.
+    array nor a task grows with a heavily repeated pair. The levels of one key are cut into
+    parts by value, so that many distinct ones do not meet its rates in one task.
     """
-    pairs = _side(observed, "level").join(_side(observed, "rate"), on=SERIES_KEY)
+    part = F.pmod(F.xxhash64("level"), F.lit(LEVEL_PARTS))
+    levels = _side(observed, "level").withColumn("part", part)
+    parts = F.sequence(F.lit(0).cast("long"), F.lit(LEVEL_PARTS - 1).cast("long"))
+    rates = _side(observed, "rate").withColumn("part", F.explode(parts))
+    pairs = levels.join(rates, on=[*SERIES_KEY, "part"])
     copies = F.col("level_copies") * F.col("rate_copies")
     last = F.floor((copies - 1) / COPIES_IN_BLOCK)
     counted = pairs.select(*SERIES_KEY, "level", "rate", copies.alias("copies"), last.alias("last"))
