@@ -251,6 +251,16 @@ def test_secret_rules_and_redaction(docs):
     assert out[0].text is None and out[6].text == PROSE
 
 
+def test_candidates_beside_findings_of_any_kind():
+    rng = np.random.default_rng(4)
+    parts = ["0af" * 9, "token=" + "Qz" * 12, "AKIA" + "B7" * 9, "plain", "deadbeef-" * 4, "K" * 20, "x:" + "9c" * 15]
+    for _ in range(40):
+        text = " ".join(rng.choice(parts, 30)) + "".join(rng.choice(parts, 4))
+        taken = secret_scan.base_spans(text)
+        for start, end, known in secret_scan.candidates(text, taken):
+            assert known == any(a < end and start < b for _, a, b in taken)
+
+
 def test_network_knows_keys_it_has_not_seen():
     made = secret_scan.made_findings(2400)
     net = secret_scan.trained([w for w, _ in made[:1800]], [y for _, y in made[:1800]])
