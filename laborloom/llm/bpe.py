@@ -31,6 +31,8 @@ NONE = 1 << 60
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: White space next to a space, where a text may not be cut at every space.
 UNEVEN = regex.compile(r"\s\s|^\s|\s$")
+#: A run of white space that is not put together from its spaces.
+LONG_GAP = regex.compile(r"\s{1000}")
 
 
 def byte_symbols() -> dict[str, int]:
@@ -144,10 +146,13 @@ class Encoder:
 
     def plain(self, text: str) -> bytes:
         """Ids of a text without special tokens."""
+        uneven = UNEVEN.search(text)
+        if uneven and LONG_GAP.search(text):
+            return self._chunk(text)
         # A space between two other characters always begins a pre-token.
         first, *rest = text.split(" ")
         parts = [first, *[" " + part for part in rest]]
-        if UNEVEN.search(text):
+        if uneven:
             whole, parts = parts, []
             for part in whole:
                 if parts and (part == " " or part[1:2].isspace() or not parts[-1] or parts[-1][-1:].isspace()):
