@@ -25,7 +25,7 @@ import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from laborloom.llm.bpe import KEPT_WORDS, LONGEST_KEPT, PATTERN, Encoder
+from laborloom.llm.bpe import PATTERN, Encoder
 from laborloom.llm.shared import ship
 
 LENGTH = 1024
@@ -37,22 +37,18 @@ SCHEMA = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 
 
 class LibraryEncoder(Encoder):
-    """The encoder with a library's merges for words that its table lacks."""
+    """The encoder with a library's merges, which takes a text without special tokens whole."""
 
     def __init__(self, path: str) -> None:
         super().__init__(path)
         self.library = tiktoken.Encoding(
             "own", pat_str=PATTERN, mergeable_ranks=self.vocabulary.ids, special_tokens={})
 
-    def _chunk(self, chunk: str) -> bytes:
-        ids = self.chunks.get(chunk)
-        if ids is None:
-            ids = np.array(self.library.encode_ordinary(chunk), dtype="<u4").tobytes()
-            if len(chunk) <= LONGEST_KEPT:
-                if len(self.chunks) >= KEPT_WORDS:
-                    self.chunks.clear()
-                self.chunks[chunk] = ids
-        return ids
+    def plain(self, text: str) -> bytes:
+        try:
+            return self.library.encode_to_numpy(text).astype("<u4").tobytes()
+        except ValueError:  # the library's pattern gives up on very long runs of white space
+            return self._chunk(text)
 
 
 @lru_cache(maxsize=2)

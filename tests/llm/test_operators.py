@@ -178,6 +178,13 @@ def test_encoding_as_the_library(frame, request):
     assert {r.doc_id: (r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got} == want
 
 
+@pytest.mark.parametrize("text", ["x" + " " * 1_500_000 + "y", "\n" * 1_200_000, "a" * 200_000, "a <|endoftext|>b", ""])
+def test_both_encoders_on_extreme_texts(text):
+    want = Tokenizer.from_file(VOCABULARY).encode(text, add_special_tokens=False).ids
+    for encoder in (packing.library_encoder(VOCABULARY), bpe.encoder(VOCABULARY)):
+        assert np.frombuffer(encoder.encode(text), dtype="<u4").tolist() == want
+
+
 @pytest.mark.parametrize("frame", ["docs", "real"])
 def test_packing(frame, request):
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
