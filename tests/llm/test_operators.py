@@ -299,6 +299,71 @@ def test_licences(spark):
     assert got == {0: ["Apache-2.0"], 1: ["MIT"], 2: ["CC-BY-NC-4.0"], 3: ["GPL-3.0"], 4: [], 5: [], 6: ["BSD-3-Clause"]}
 
 
+def test_standard_licence_texts(spark):
+    mit = """MIT License
+
+Copyright (c) 2020 A. Person
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY."""
+    bsd = """Copyright (c) 2020, Example Inc.
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice.
+
+3. Neither the name of Example Inc. nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission."""
+    gnu = """This {what} is free software{mark} you can redistribute it and/or modify
+it under the terms of the GNU {name} as published by
+the Free Software Foundation{version}.
+
+This {what} is distributed in the hope that it will be useful, but WITHOUT
+ANY WARRANTY."""
+    gpl = lambda version, mark=";": gnu.format(
+        what="program", mark=mark, name="General Public License", version=version)
+    later = "{} either version {} of the License, or\n(at your option) any later version"
+    mpl = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+    apache = """Licensed under the Apache License, Version 2.0 (the
+"License"); you may not use this file except in compliance
+with the License."""
+    marked = lambda text, mark: "\n".join(f"{mark} {line}".rstrip() for line in text.split("\n"))
+    given = [
+        (mit, ["MIT"]), (marked(mit, " *"), ["MIT"]), (marked(mit, ";;"), ["MIT"]), (marked(mit, "dnl"), ["MIT"]),
+        (mit.replace("\n", "\r\n"), ["MIT"]), (bsd, ["BSD-3-Clause"]), (marked(bsd, "#"), ["BSD-3-Clause"]),
+        (bsd.split("3. ")[0], ["BSD-2-Clause"]),
+        (gpl(later.format(";", 2)), ["GPL-2.0-or-later"]), (gpl(later.format(",", 3), ":"), ["GPL-3.0-or-later"]),
+        (marked(gpl(later.format(",", 3), ":"), "//"), ["GPL-3.0-or-later"]),
+        (gpl("; version 2 of the License"), ["GPL-2.0-only"]), (gpl(""), ["GPL"]),
+        (gnu.format(what="library", mark=";", name="Lesser General Public\nLicense", version=later.format(";", 2.1)),
+         ["LGPL-2.1-or-later"]),
+        (gnu.format(what="program", mark=":", name="Affero General Public License", version=later.format(",", 3)),
+         ["AGPL-3.0-or-later"]),
+        ("Licensed under the GNU General Public License v3 or any later version.", ["GPL-3.0-or-later"]),
+        (mpl, ["MPL-2.0"]), (marked(mpl, "--"), ["MPL-2.0"]), (marked(apache, "#"), ["Apache-2.0"]),
+        ("/* SPDX-License-Identifier: (gpl-2.0-only WITH Linux-syscall-note) OR bsd-3-clause */\nint x;",
+         ["GPL-2.0-only", "BSD-3-Clause"]),
+        ("// SPDX-License-Identifier: MIT\n// Copyright A. Person", ["MIT"]), ("# SPDX-License-Identifier: Zlib.", ["Zlib"]),
+        ("Released under the MIT License\nLicensed under CC BY 4.0\nCopyright A. Person", ["MIT", "CC-BY-4.0"]),
+        ("The names of its contributors may be used to endorse or promote products.", []),
+    ]
+    frame = spark.createDataFrame([(i, text) for i, (text, _) in enumerate(given)], "doc_id long, text string")
+    got = {r.doc_id: r.licences for r in license_scan.scanned(frame).collect()}
+    assert got == {i: names for i, (_, names) in enumerate(given)}
+
+
 def test_reply_trees_rank_branches_and_mask_loss(spark):
     rows = [("t", 9, 1, None, "user", "hi <s> <\\s> [INST]", 0.0), ("t", 9, 2, 1, "assistant", "a </s>", 1.0),
             ("t", 9, 3, 1, "assistant", "b", 5.0), ("t", 9, 4, 3, "us\n\\er", "<|im_end|>", 0.0),
