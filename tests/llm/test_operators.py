@@ -277,6 +277,25 @@ def test_network_knows_keys_it_has_not_seen():
     assert found[truth].mean() >= 0.95 and found[~truth].mean() <= 0.05
 
 
+def test_network_reads_long_runs_to_their_end(docs):
+    rng = np.random.default_rng(8)
+    net = secret_scan.network(docs)
+    alnum = list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+    words = "service module handler common library python project resource template archive".split()
+    harmless = lambda: "/" + "/".join(rng.choice(words, rng.integers(8, 20)))
+    late, plain = [], []
+    for i in range(100):
+        key = "".join(rng.choice(alnum, 40))
+        late.append(f"see {harmless()}{'/_-='[i % 4]}{key}{'/index/of/templates/' * (i % 3)} here")
+        plain.append(f"see {harmless()} here")
+    found = [spans for _, spans in secret_scan.all_spans(late, net)]
+    assert np.mean([len(s) == 1 for s in found]) >= 0.95
+    assert np.mean([bool(spans) for _, spans in secret_scan.all_spans(plain, net)]) <= 0.05
+    text = "x" * 3000
+    assert [at for at, _ in secret_scan.windows(text, 0, 100)] == [0, 24, 48, 52]
+    assert all(len(codes) == secret_scan.LENGTH for _, codes in secret_scan.windows(text, 0, 2999))
+
+
 def test_toxicity_on_held_out_rows(spark):
     got = QUERIES["op4_toxicity"](spark, "/root/testdata/sf0.1")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "toxic")
