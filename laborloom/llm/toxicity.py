@@ -40,6 +40,8 @@ NEAR = 5
 WORD = re.compile(r"[^\W\d_]+")
 #: Letters with digits or signs between them, or letters spaced out by signs.
 DISGUISED = re.compile(r"(?<!\w)(?=[^\s]*[^\W\d_])(?=[^\s]{0,20}[\d@$!|+€*._-][^\W_])[\w@$!|+€*.-]{3,24}(?!\w)")
+#: No disguise is without one of these.
+SIGN = re.compile(r"[\d@$!|+€*._-]")
 STEMS = (4, 5, 6)
 FEATURES = 18
 
@@ -82,9 +84,10 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
     stems = [i for i, (_, b) in enumerate(kinds) if b]
     second = [i for i, w in enumerate(words) if w in SECOND_PERSON]
     near = sum(any(abs(i - j) <= NEAR for j in second) for i in {*hits, *stems}) if second else 0
-    disguised = DISGUISED.findall(text) if any(c in text for c in "0134579@$!|+*.-_") else []
-    folded = [re.sub(r"[^\w]|_", "", d.lower().translate(LOOKALIKE)) for d in disguised[:100_000]]
-    behind = sum(lexicon.kind(f)[0] for f in folded)
+    disguised = behind = 0
+    for m in DISGUISED.finditer(text) if SIGN.search(text) else ():
+        disguised += 1
+        behind += lexicon.kind(re.sub(r"[^\w]|_", "", m[0].lower().translate(LOOKALIKE)))[0]
     capitals = sum(map(str.isupper, text)) if not text.islower() else 0
     shouted = sum(len(w) > 2 and w.isupper() for w in raw)
     count = text.count
@@ -95,7 +98,7 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
         len(hits) / n, np.log1p(len(hits)), len(stems) / n, np.log1p(len(stems)),
         len(set(words[i] for i in hits)), near / n, np.log1p(near), len(second) / n,
         capitals / chars, shouted / n, count("!") / chars, count("?") / chars, marks / chars, signs / chars,
-        len(disguised) / n, np.log1p(behind), digits / chars, np.log1p(chars),
+        disguised / n, np.log1p(behind), digits / chars, np.log1p(chars),
     ]
 
 

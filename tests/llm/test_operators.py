@@ -296,6 +296,17 @@ def test_network_reads_long_runs_to_their_end(docs):
     assert all(len(codes) == secret_scan.LENGTH for _, codes in secret_scan.windows(text, 0, 2999))
 
 
+def test_every_disguise_counts_wherever_it_is():
+    lexicon = toxicity.Lexicon()
+    many = "a.b x-1 " * 50_001
+    assert toxicity.features(many + "id1ot", lexicon) == toxicity.features("id1ot " + many[:-1], lexicon)
+    assert toxicity.features(many + "id1ot", lexicon)[15] == np.log1p(1)
+    for sign in "0123456789@$!|+€*._-٣":
+        assert toxicity.DISGUISED.findall(f"you ab{sign}cd you") == [f"ab{sign}cd"]
+        assert toxicity.features(f"you ab{sign}cd you", lexicon)[14] > 0
+    assert toxicity.features("you fr€ak", lexicon)[15] == np.log1p(1)
+
+
 def test_toxicity_on_held_out_rows(spark):
     got = QUERIES["op4_toxicity"](spark, "/root/testdata/sf0.1")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "toxic")
