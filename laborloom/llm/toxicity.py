@@ -6,10 +6,13 @@ capitals, punctuation, digits and obfuscation. The lexicon is a short fixed list
 the labelled texts teach: words and stems that are much more frequent in toxic texts.
 
 Labels are learned only from rows whose crc32(doc_id as text) mod 4 is not 2, and from at
-most ``sample`` of them, chosen by a hash of their id. Lexicon, trees and calibration each
-take their own part of it. Labels, lang, source and doc_id are never inputs of a score.
-Null and empty texts have all features 0. Without labels of both kinds the lexicon is the
-fixed list and the score the share of lexicon words, scaled.
+most ``sample`` of them, chosen by a hash of their id within their class: a quarter toxic and
+the rest clean, or more of one where the other has fewer. Lexicon, trees and calibration each
+take their own part of both classes, or all rows where a part would lack a class; calibration
+weighs the classes by their true share. Labels, lang, source and doc_id are never inputs of a
+score. Null and empty texts have all features 0. If all labels to learn from are of one class,
+the lexicon is what they teach beside the fixed list and the score the share of lexicon words,
+scaled.
 """
 
 from __future__ import annotations
@@ -21,12 +24,16 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from laborloom.llm.shared import saved, ship
 
 SAMPLE = 8000
 THRESHOLD = 0.3
+TOXIC_SHARE, LEAST_ODDS = 4, 8  # one in so many rows of the sample is toxic, where there are enough of both
+#: Parts of a class's rows in the order of their hashes: calibration 8 and 9, trees 4 to 7, lexicon 0 to 3.
+PARTS = (8, 4, 0, 5, 1, 6, 9, 2, 7, 3)
 #: Words a learned lexicon may have, and how often and how surely they are toxic.
 LEXICON_WORDS, LEAST_DOCS, LEAST_SHARE = 4000, 3, 0.6
 #: Common insults, and second-person pronouns of four languages.
@@ -166,12 +173,12 @@ class Trees:
         return total
 
 
-def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def isotonic(score: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Points of the non-decreasing step fit of ``y`` on ``score`` (pool adjacent violators)."""
     order = np.argsort(score, kind="stable")
     pools: list[list[float]] = []  # sum, rows, first score, last score
-    for s, v in zip(score[order].tolist(), y[order].tolist(), strict=True):
-        pools.append([v, 1, s, s])
+    for s, v, w in zip(score[order].tolist(), y[order].tolist(), weight[order].tolist(), strict=True):
+        pools.append([v * w, w, s, s])
         while len(pools) > 1 and (pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]
                                   or pools[-2][3] == pools[-1][2]):
             v2, n2, _, last = pools.pop()
@@ -179,8 +186,9 @@ def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             pools[-1][1] += n2
             pools[-1][3] = last
     at = np.array([p for pool in pools for p in (pool[2], pool[3])])
-    # One row of each kind more, so that no pool is certain.
-    share = np.array([(pool[0] + 0.1) / (pool[1] + 0.2) for pool in pools])
+    # A bit of a row of each kind more, so that no pool is certain.
+    toxic, clean = (0.1 * weight[y == v].mean() for v in (1, 0))
+    share = np.array([(pool[0] + toxic) / (pool[1] + toxic + clean) for pool in pools])
     return at, np.repeat(np.maximum.accumulate(share), 2)
 
 
@@ -200,13 +208,21 @@ class Model:
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
-    """At most ``sample`` labelled rows outside the held-out part: part (0 to 9), toxic, text."""
+    """At most ``sample`` labelled rows outside the held-out part: part (0 to 9), toxic, weight, text."""
     order = F.xxhash64(F.lit("toxicity"), "doc_id")
-    chosen = (labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
-              .select("doc_id", "toxic").dropDuplicates(["doc_id"]).orderBy(order).limit(sample))
-    texts = docs.select("doc_id", "text").join(F.broadcast(saved(chosen)), "doc_id")  # at most ``sample`` rows
-    return saved(texts.select(F.pmod(order, F.lit(10)).cast("int").alias("part"), "toxic",
-                              F.coalesce("text", F.lit("")).alias("text")))
+    learnable = saved(labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
+                      .groupBy("doc_id").agg(F.max("toxic").alias("toxic")))
+    there = {r.toxic: r.n for r in learnable.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    of_toxic, of_clean = sample // TOXIC_SHARE, sample - sample // TOXIC_SHARE
+    bounds = {1: sample - min(of_clean, there.get(0, 0)), 0: sample - min(of_toxic, there.get(1, 0))}
+    classes = [learnable.where(F.col("toxic") == v).orderBy(order, "doc_id").limit(bounds[v]).withColumn(
+        "weight", F.lit(max(1.0, there.get(v, 0) / max(1, bounds[v])))) for v in (0, 1)]
+    chosen = classes[0].unionByName(classes[1])  # at most ``sample`` rows
+    place = F.row_number().over(W.partitionBy("toxic").orderBy(order, "doc_id")) - 1
+    parts = F.array(*map(F.lit, PARTS))
+    chosen = saved(chosen.select("doc_id", "toxic", "weight", F.get(parts, F.pmod(place, F.lit(10))).alias("part")))
+    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return saved(texts.select("part", "toxic", "weight", F.coalesce("text", F.lit("")).alias("text")))
 
 
 def _terms_of(rows: DataFrame) -> DataFrame:
@@ -220,10 +236,22 @@ def _terms_of(rows: DataFrame) -> DataFrame:
     return rows.select("toxic", "text").mapInArrow(each, "term string, toxic int")
 
 
+def clean_weight(rows: DataFrame) -> float:
+    """Toxic rows that a clean one counts for in the lexicon: as many as restore the true share of
+    the classes, but a share rarer than 1 to LEAST_ODDS is not made so."""
+    there = {r.toxic: (r.n, r.weight) for r in rows.groupBy("toxic").agg(
+        F.count(F.lit(1)).alias("n"), F.max("weight").alias("weight")).collect()}
+    if len(there) < 2:
+        return 1.0
+    odds = there[1][0] / there[0][0]
+    return odds / max(odds * there[1][1] / there[0][1], min(odds, 1 / LEAST_ODDS))
+
+
 def learned_lexicon(rows: DataFrame) -> Lexicon:
     """Terms that are surely toxic in the labelled ``rows``, at most LEXICON_WORDS, and the fixed list."""
     counts = _terms_of(rows).groupBy("term").agg(F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("docs"))
-    sure = counts.where((F.col("toxic") >= LEAST_DOCS) & (F.col("toxic") >= LEAST_SHARE * F.col("docs")))
+    docs = F.col("toxic") + clean_weight(rows) * (F.col("docs") - F.col("toxic"))
+    sure = counts.where((F.col("toxic") >= LEAST_DOCS) & (F.col("toxic") >= LEAST_SHARE * docs))
     found = [r.term for r in sure.orderBy(F.col("toxic").desc(), "term").limit(LEXICON_WORDS).collect()]
     return Lexicon(INSULTS | {t for t in found if t[-1] != "*"}, frozenset(t[:-1] for t in found if t[-1] == "*"))
 
@@ -238,19 +266,25 @@ def fitted(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         for batch in batches:
             x = [features(t, lexicon) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("part"), batch.column("toxic"), pa.array(x, pa.list_(pa.float64()))],
-                ["part", "toxic", "x"])
+                [batch.column("part"), batch.column("toxic"), batch.column("weight"), pa.array(x, pa.list_(pa.float64()))],
+                ["part", "toxic", "weight", "x"])
 
-    taken = rows.where("part >= 4").mapInArrow(each, "part int, toxic int, x array<double>").collect()
+    rated = rows.mapInArrow(each, "part int, toxic int, weight double, x array<double>")
+    taken = rated.where("part >= 4").collect()
+    y = np.array([r.toxic for r in taken], dtype=np.float64)
+    if not 0 < y.sum() < len(y):  # of a class with texts all may be in the lexicon's part
+        taken = rated.collect()
     x = np.array([r.x for r in taken], dtype=np.float64).reshape(len(taken), FEATURES)
     y = np.array([r.toxic for r in taken], dtype=np.float64)
+    weight = np.array([r.weight for r in taken], dtype=np.float64)
     last = np.array([r.part >= 8 for r in taken], dtype=bool)
     order = np.lexsort((*x.T, y, last))  # rows arrive in any order
-    x, y, last = x[order], y[order], last[order]
-    if not all(0 < y[part].sum() < part.sum() for part in (last, ~last)):
+    x, y, weight, last = x[order], y[order], weight[order], last[order]
+    if not 0 < y.sum() < len(y):
         return Model(lexicon)
-    trees = Trees().fit(x[~last], y[~last])
-    return Model(lexicon, trees, isotonic(trees.score(x[last]), y[last]))
+    trained, held = (part if 0 < y[part].sum() < part.sum() else np.ones(len(y), dtype=bool) for part in (~last, last))
+    trees = Trees().fit(x[trained], y[trained])
+    return Model(lexicon, trees, isotonic(trees.score(x[held]), y[held], weight[held]))
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

@@ -307,6 +307,26 @@ def test_every_disguise_counts_wherever_it_is():
     assert toxicity.features("you fr€ak", lexicon)[15] == np.log1p(1)
 
 
+def test_rare_toxic_labels_are_learned_by_class(spark):
+    insult = "you are a grumbleflop and a snorkelwit, "
+    rows = [(i, (insult if i % 200 == 0 else "we are at the lake with a friend, ") + f"number {i % 7} of it.", int(i % 200 == 0))
+            for i in range(8000)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int").repartition(4)
+    given = toxicity.training_rows(frame.select("doc_id", "text"), frame.select("doc_id", "toxic"), 80).collect()
+    assert len(given) == 80 and sum(r.toxic for r in given) == 20
+    assert all({r.part >= 8 for r in given if r.toxic == v} == {True, False} for v in (0, 1))
+    learnable = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    assert round(sum(r.weight for r in given)) == len(learnable)
+    for few in (1, 2):
+        labels = frame.where(f"toxic = 0 OR doc_id < {few * 200}").select("doc_id", "toxic")
+        if labels.where("toxic = 1").where(~toxicity.held_out()).count():
+            assert toxicity.fitted(frame, labels, 80).trees is not None
+    model = toxicity.fitted(frame, frame, 80)
+    bad, good = model.scores([insult + "number 3 of it.", "we are at the lake with a friend, number 9 of it."])
+    assert bad > 0.2 > 0.05 > good
+    assert toxicity.fitted(frame, frame.where("toxic = 0"), 80).trees is None
+
+
 def test_toxicity_on_held_out_rows(spark):
     got = QUERIES["op4_toxicity"](spark, "/root/testdata/sf0.1")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "toxic")
