@@ -221,8 +221,11 @@ def training_rows(docs: DataFrame, labels: DataFrame, sample: int) -> DataFrame:
     place = F.row_number().over(W.partitionBy("toxic").orderBy(order, "doc_id")) - 1
     parts = F.array(*map(F.lit, PARTS))
     chosen = saved(chosen.select("doc_id", "toxic", "weight", F.get(parts, F.pmod(place, F.lit(10))).alias("part")))
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    return saved(texts.select("part", "toxic", "weight", F.coalesce("text", F.lit("")).alias("text")))
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), "doc_id")
+    # One text of an id that repeats; each task leaves one, too.
+    single = texts.groupBy("doc_id").agg(F.min_by("text", F.xxhash64("text")).alias("text"), *(
+        F.first(c).alias(c) for c in ("part", "toxic", "weight")))
+    return saved(single.select("part", "toxic", "weight", "text"))
 
 
 def _terms_of(rows: DataFrame) -> DataFrame:

@@ -327,6 +327,18 @@ def test_rare_toxic_labels_are_learned_by_class(spark):
     assert toxicity.fitted(frame, frame.where("toxic = 0"), 80).trees is None
 
 
+def test_toxicity_learns_one_text_of_an_id_that_repeats(spark):
+    frame = spark.createDataFrame(
+        [(7 if i % 3 else i, None if i == 1 else f"text {i % 50}", i % 2) for i in range(900)],
+        "doc_id long, text string, toxic int")
+    rows = toxicity.training_rows(frame.repartition(5), frame, 50).collect()
+    assert len(rows) == 50
+    once = toxicity.training_rows(frame.repartition(3).dropDuplicates(["doc_id"]).where("doc_id <> 7"), frame, 900)
+    many = toxicity.training_rows(frame.repartition(3), frame, 900)
+    assert 0 <= many.count() - once.count() <= 1
+    assert sorted(many.collect()) == sorted(toxicity.training_rows(frame.repartition(4), frame, 900).collect())
+
+
 def test_toxicity_on_held_out_rows(spark):
     got = QUERIES["op4_toxicity"](spark, "/root/testdata/sf0.1")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", "toxic")
