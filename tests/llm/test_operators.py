@@ -296,6 +296,25 @@ def test_network_reads_long_runs_to_their_end(docs):
     assert all(len(codes) == secret_scan.LENGTH for _, codes in secret_scan.windows(text, 0, 2999))
 
 
+def test_parts_of_a_candidate_beside_a_finding_are_scored(docs):
+    rng = np.random.default_rng(9)
+    net = secret_scan.network(docs)
+    alnum = list("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
+    hits = []
+    for i in range(60):
+        key = "".join(rng.choice(alnum, 40))
+        head = ("AKIA" + "B7" * 8 + "/", "0af" * 8 + "/", "0af" * 8 + "+Z")[i % 3]
+        text = f"see {head}{key} here"
+        (base, spans), = secret_scan.all_spans([text], net)
+        assert set(base) <= set(spans)
+        hits.append(key[4:] not in secret_scan.redacted(text, spans))
+    assert np.mean(hits) >= 0.95
+    text = "token=abcdefgh " + "x" * 20 + "0af" * 10 + "y" * 15 + "=" + "AKIA" + "B7" * 9 + "/" * 15 + " " + "q" * 16
+    base = secret_scan.base_spans(text)
+    parts = list(secret_scan.uncovered(secret_scan.candidates(text, base), secret_scan.merged(base)))
+    assert [text[a:b] for a, b in parts] == ["x" * 20, "y" * 15 + "=", "q" * 16]
+
+
 def test_every_disguise_counts_wherever_it_is():
     lexicon = toxicity.Lexicon()
     many = "a.b x-1 " * 50_001
