@@ -1,7 +1,7 @@
-"""Substring deduplication by level-wise doubling of repeated word windows.
+"""Substring deduplication by a two-level filter of repeated word windows.
 
-Level one looks at windows of ``window / 4`` words, level two at the full ``window``, two
-doublings on (4, 8, 16 cut to 13). A long window can only repeat if the short ones in it do,
+Level one looks at windows of ``window / 4`` words, level two at the full ``window``; there
+are no doublings between. A long window can only repeat if the short ones in it do,
 so only texts with repeated short windows go on and only around those. Of the short windows
 in each long one the one with the least hash stands for it, in every text alike, which
 leaves about a fifth of them to shuffle and loses no long window.
