@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -9,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laborloom.llm import (
-    bpe, chat_trees, exact_dedup, fingerprints, license_scan, minhash_dedup, packing, secret_scan,
-    substring_dedup, toxicity)
+    bpe, chat_trees, chunked_bpe, exact_dedup, fingerprints, hard_negatives, license_scan, minhash_dedup, packing,
+    periodic_runs, secret_scan, substring_dedup, toxicity)
 from laborloom.llm.shared import documents
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -79,8 +81,44 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+def op11_hard_negative_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mined(vectors, F.col("vec_id") % 100 == 0, label)
+
+
+def op12_chunked_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunked_bpe.digests(documents(spark, sf_dir), RANKS, public_tokenizers.PATTERN)
+
+
+def looped(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words of every tenth document, by a hash of its id, with a loop from some word on."""
+    if doc_id is None or not words:
+        return words
+    rest, h = zlib.crc32(str(doc_id).encode()) // 10, zlib.crc32(str(doc_id).encode()) % 10
+    if h:
+        return words
+    first = rest % len(words)
+    period = 1 + (len(words) - first) // (3 + rest % 8)
+    return words[:first] + [words[first + (i - first) % period] for i in range(first, len(words))]
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.detected(documents(spark, sf_dir), looped)
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    sha = lambda text: F.sha2(F.encode(text, "UTF-8"), 256)
+    best = F.col("strongest")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best["start"].alias("start"),
+        best["length"].alias("length"), best["period"].alias("period"),
+        F.expr("1000 * strongest.length DIV strongest.period").alias("exponent_milli"),
+        sha(F.array_join(F.transform("runs", line), "")).alias("runs_sha256"),
+        sha(F.col("collapsed")).alias("collapsed_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f for f in (
         op1_document_fingerprints, op2_packing, op3_secret_scan, op4_toxicity, op5_exact_dedup, op6_substring_dedup, op7_license_scan,
-        op8_bpe_round_trip, op9_minhash_near_dedup, op10_chat_formatting)
+        op8_bpe_round_trip, op9_minhash_near_dedup, op10_chat_formatting,
+        op11_hard_negative_mining, op12_chunked_bpe, op13_periodic_runs)
 }

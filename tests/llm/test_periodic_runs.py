@@ -1,0 +1,121 @@
+"""Periodic runs against a plain search of every period."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from fractions import Fraction
+
+import pytest
+
+from laborloom.llm import periodic_runs as pr
+from laborloom.llm.queries import QUERIES, looped
+
+SF = "/root/testdata/sf0.001"
+
+
+def plain(words):
+    n, found = len(words), {}
+    for q in range(1, n // 4 + 1):
+        i = q
+        while i < n:
+            first = i
+            while i < n and words[i] == words[i - q]:
+                i += 1
+            if i - first + q >= max(6, 4 * q):
+                found.setdefault((first - q, i), q)
+            i += 1
+    return sorted((s, e - s, q) for (s, e), q in found.items())
+
+
+def numbers(values):
+    return [b"%d" % v for v in values]
+
+
+def repetitive(rng):
+    letters = rng.choice([1, 2, 2, 3, 5])
+    words = numbers(rng.randrange(letters) for _ in range(rng.randint(0, 80)))
+    for _ in range(rng.randint(0, 4)):
+        part = numbers(rng.randrange(letters) for _ in range(rng.randint(1, 12)))
+        at = rng.randint(0, len(words))
+        words[at:at] = (part * 9)[:rng.randint(1, 7 * len(part))]
+    return words
+
+
+@pytest.mark.parametrize("step", [1, 2, 7, 50, 10_000])
+def test_runs_of_random_words(step):
+    rng = random.Random(step)
+    for _ in range(150):
+        words = repetitive(rng)
+        assert pr.runs_of(words, step) == plain(words), words
+
+
+def test_every_prefix_has_its_runs():
+    rng = random.Random(5)
+    for _ in range(10):
+        words = repetitive(rng)
+        known, catchers = {}, pr.Catchers()
+        for n, word in enumerate(words, 1):
+            catchers.append(pr.np.array([known.setdefault(word, len(known))]))
+            assert catchers.runs() == plain(words[:n])
+
+
+def test_shapes_that_repeat_much():
+    many = 30_000
+    assert pr.runs_of([b"a"] * many) == [(0, many, 1)]
+    assert pr.runs_of([b"a", b"b", b"a"] * many) == [(0, 3 * many, 3)]
+    assert pr.runs_of(numbers(i % 1000 for i in range(many))) == [(0, many, 1000)]
+    assert pr.runs_of(numbers(bin(i).count("1") % 2 for i in range(1 << 12))) == []  # Thue–Morse has no cubes
+    a, b = [b"a"], [b"a", b"b"]
+    while len(b) < 3000:
+        a, b = b, b + a
+    assert pr.runs_of(b) == plain(b)  # Fibonacci words
+
+
+def test_strongest_is_exact_and_the_first_of_equals():
+    assert pr.strongest([]) is None
+    assert pr.strongest([(9, 8, 2), (3, 4 * 10**16 + 1, 10**16), (1, 12, 3)]) == (3, 4 * 10**16 + 1, 10**16)
+    assert pr.strongest([(5, 8, 2), (5, 4, 1), (7, 40, 10)]) == (5, 4, 1)
+
+
+def test_collapsed():
+    words = b"x a b a b a b a b y".split()
+    assert pr.runs_of(words) == [(1, 8, 2)] and pr.collapsed(words, [(1, 8, 2)]) == b"x a b y".split()
+
+
+def test_awkward_rows(spark):
+    texts = [(1, None), (2, ""), (3, " \t\n"), (4, "a " * 6), (4, "a " * 6), (4, "a " * 5), (None, "b\x0bb\fb b b b"),
+             (5, "é é é é é é é\xa0é"), (6, "z" * 100_000), (7, "w v " * 40_000)]
+    docs = spark.createDataFrame([(i, t, "clash", 1) for i, t in texts], "doc_id long, text string, runs string, start long")
+    got = [(r.doc_id, r.n_words, [tuple(x) for x in r.runs], r.collapsed) for r in pr.detected(docs).collect()]
+    want = [(1, 0, [], ""), (2, 0, [], ""), (3, 0, [], ""), (4, 6, [(0, 6, 1)], "a"), (4, 6, [(0, 6, 1)], "a"),
+            (4, 5, [], "a a a a a"), (None, 6, [(0, 6, 1)], "b"), (5, 7, [(0, 6, 1)], "é é\xa0é"),
+            (6, 1, [], "z" * 100_000), (7, 80_000, [(0, 80_000, 2)], "w v")]
+    key = lambda r: (r[0] is None, r[0] or 0, r[1], r[3])
+    assert sorted(got, key=key) == sorted(want, key=key)
+    assert pr.detected(docs.where("false")).count() == 0
+
+
+def test_query_against_plain_search(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    sha = lambda data: hashlib.sha256(data).hexdigest()
+    want = {}
+    for doc_id, text in rows:
+        words = (text or "").encode().split()
+        h, n = zlib.crc32(str(doc_id).encode()), len(words)
+        g = h // 10
+        if h % 10 == 0 and n:
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+        runs = plain(words) if n < 3000 or h % 10 == 0 else pr.runs_of(words)
+        dropped = {i for s, m, q in runs for i in range(s + q, s + m)}
+        best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2]), default=None)
+        want[doc_id] = (len(runs), *(best or (None,) * 3), best and 1000 * best[1] // best[2],
+                        sha(b"".join(b"%d,%d,%d\n" % r for r in runs)),
+                        sha(b" ".join(w for i, w in enumerate(words) if i not in dropped)))
+    got = QUERIES["op13_periodic_runs"](spark, SF).collect()
+    assert {r[0]: tuple(r[1:]) for r in got} == want and len(got) == len(rows)
+    assert sum(w[0] for w in want.values()) >= 10
+    assert looped(None, [b"a"]) == [b"a"] and looped(3, []) == []
