@@ -7,9 +7,11 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from laborloom.plans import jolts, qcew
+from laborloom.sinks import write_clustered, write_staged
 from laborloom.sources import LakeSource, read_jolts, read_qcew, read_series
 
-__all__ = ["LakeSource", "map_jolts", "map_qcew", "read_jolts", "read_qcew", "read_series"]
+__all__ = ["LakeSource", "map_jolts", "map_qcew", "read_jolts", "read_qcew", "read_series", "write_clustered",
+           "write_staged"]
 
 
 def map_qcew(spark: SparkSession, source: DataFrame | Path | str) -> DataFrame:

@@ -2,9 +2,11 @@
 
     spark-submit --py-files laborloom.zip laborloom/jobs.py qcew  --bulk-path IN --output OUT
     spark-submit --py-files laborloom.zip laborloom/jobs.py jolts --jolts-path IN --output OUT
-    spark-submit --py-files laborloom.zip laborloom/jobs.py series --series-path IN --output OUT
+    spark-submit --py-files laborloom.zip laborloom/jobs.py series --series-path IN --output OUT [--rejects REFUSED]
+    spark-submit --py-files laborloom.zip laborloom/jobs.py cluster --bulk-path IN --output OUT
 
-Exit code 1 means there was nothing to write; an earlier output is then left alone.
+Exit code 1 means there was nothing to write. An earlier output is then left alone, as it is when
+a job fails.
 """
 
 from __future__ import annotations
@@ -13,10 +15,10 @@ import argparse
 import sys
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from laborloom.plans import jolts, qcew
+from laborloom.sinks import write_clustered, write_staged
 from laborloom.sources import read_jolts, read_qcew, read_series
 
 
@@ -25,30 +27,29 @@ def balanced(rows: DataFrame) -> DataFrame:
     return rows.hint("rebalance")
 
 
-def write_counted(rows: DataFrame, output: str) -> int:
-    """Writes ``rows`` as Parquet and returns their number, counted while they are written."""
-    seen = Observation("written")
-    counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
-    counted.write.mode("overwrite").parquet(str(output))
-    return seen.get["rows"]
+def run_qcew(spark: SparkSession, bulk_path: str, output: str) -> int:
+    return write_staged(balanced(qcew.to_ces(read_qcew(spark, bulk_path))), output)
 
 
-def run_qcew(spark: SparkSession, bulk_path: str, output: str) -> int | None:
-    bulk = read_qcew(spark, bulk_path)
-    return None if qcew.is_empty(bulk) else write_counted(balanced(qcew.to_ces(bulk)), output)
+def run_jolts(spark: SparkSession, jolts_path: str, output: str) -> int:
+    # Sampling for the order then reads shuffled rows and not the input again.
+    return write_staged(jolts.ordered(balanced(jolts.to_ces(read_jolts(spark, jolts_path)))), output)
 
 
-def run_jolts(spark: SparkSession, jolts_path: str, output: str) -> int | None:
-    survey = read_jolts(spark, jolts_path)
-    return None if jolts.is_empty(survey) else write_counted(
-        # Sampling for the order then reads shuffled rows and not the input again.
-        jolts.ordered(balanced(jolts.to_ces(survey))), output)
+def run_series(spark: SparkSession, series_path: str, output: str, rejects: str | None = None) -> int:
+    """Turns series text files into the Parquet input of the turnover job. Malformed records
+    stop it, or go to ``rejects`` where that is given."""
+    series = read_series(spark, series_path)
+    if rejects is None:
+        return write_staged(balanced(jolts.select_series(series)), output)
+    refused = write_staged(balanced(jolts.series_rejects(series)), rejects, allow_empty=True)
+    print(f"series: {refused} records refused, in {rejects}", file=sys.stderr)
+    return write_staged(balanced(jolts.select_series(series, strict=False)), output)
 
 
-def run_series(spark: SparkSession, series_path: str, output: str) -> int | None:
-    """Turns a series text file into the Parquet input of the turnover job."""
-    selected = jolts.select_series(read_series(spark, series_path))
-    return None if selected.isEmpty() else write_counted(balanced(selected), output)
+def run_cluster(spark: SparkSession, bulk_path: str, output: str) -> int:
+    """Lays census files out by year, so that later reads of some years read those only."""
+    return write_clustered(read_qcew(spark, bulk_path), output)
 
 
 def main(argv: Sequence[str] | None = None) -> int:
@@ -58,15 +59,19 @@ def main(argv: Sequence[str] | None = None) -> int:
         ("qcew", "--bulk-path", "data/qcew_bulk.parquet", "data/qcew_ces.parquet"),
         ("jolts", "--jolts-path", "data/jolts.parquet", "data/jolts_ces.parquet"),
         ("series", "--series-path", "data/jolts_series.txt", "data/jolts.parquet"),
+        ("cluster", "--bulk-path", "data/qcew_bulk.parquet", "data/qcew_by_year.parquet"),
     ]:
         command = commands.add_parser(name)
         command.add_argument(option, dest="source", default=source)
         command.add_argument("--output", default=output)
+        if name == "series":
+            command.add_argument("--rejects", help="folder for malformed records, which stop the job without it")
     args = parser.parse_args(argv)
 
-    run = {"qcew": run_qcew, "jolts": run_jolts, "series": run_series}[args.command]
+    run = {"qcew": run_qcew, "jolts": run_jolts, "series": run_series, "cluster": run_cluster}[args.command]
+    more = {"rejects": args.rejects} if args.command == "series" else {}
     spark = SparkSession.builder.appName(f"laborloom-{args.command}").getOrCreate()
-    rows = run(spark, args.source, args.output)
+    rows = run(spark, args.source, args.output, **more)
     if not rows:
         print(f"{args.command}: the input gives no rows, nothing written", file=sys.stderr)
         return 1

@@ -37,9 +37,8 @@ def parse_series(series: DataFrame) -> DataFrame:
     return series.select("*", *series_columns())
 
 
-def select_series(series: DataFrame, national_only: bool = False) -> DataFrame:
-    """Seasonally adjusted, all-area, all-size monthly observations in the input contract."""
-    in_scope = " AND ".join([
+def _in_scope(national_only: bool) -> str:
+    return " AND ".join([
         "seasonal = 'S'",
         "period RLIKE '^M(0[1-9]|1[0-2])$'",
         "area_code = '00000'",
@@ -49,13 +48,51 @@ def select_series(series: DataFrame, national_only: bool = False) -> DataFrame:
         is_any("dataelement_code", _source_elements()),
         f"state_code = '{fixed.NATIONAL_CODE}'" if national_only else "true",
     ])
-    return parse_series(series).where(in_scope).selectExpr(
+
+
+def series_records(series: DataFrame, national_only: bool = False) -> DataFrame:
+    """Series records with their fields, whether they are ``selected``, and their ``problem``.
+
+    A problem is a wrong number of fields, an id of another length, a period that is no letter
+    and two digits or, in records that would be selected, a year or value that is no number.
+    Whatever the session's settings, such a record is neither read as something else nor lost.
+    """
+    if "line" not in series.columns:
+        series = series.withColumn("line", F.lit(None).cast("string"))
+    length = sum(size for _, _, size in fixed.SERIES_FIELDS) + len("JT")
+    problem = f"""CASE WHEN line IS NOT NULL THEN 'number of fields'
+        WHEN series_id IS NULL OR length(series_id) <> {length} THEN 'series id'
+        WHEN period IS NULL OR NOT period RLIKE '^[A-Z][0-9][0-9]$' THEN 'period'
+        WHEN selected AND (year IS NULL OR NOT year RLIKE '^[0-9]{{4}}$') THEN 'year'
+        WHEN selected AND try_cast(value AS DOUBLE) IS NULL THEN 'value' END"""
+    scope = F.expr(f"coalesce({_in_scope(national_only)}, false)")
+    return parse_series(series).withColumn("selected", scope).withColumn("problem", F.expr(problem))
+
+
+def select_series(series: DataFrame, national_only: bool = False, strict: bool = True) -> DataFrame:
+    """Seasonally adjusted, all-area, all-size monthly observations in the input contract.
+
+    A malformed record stops the query, or is left to :func:`series_rejects` if not ``strict``.
+    """
+    records = series_records(series, national_only)
+    if strict:
+        said = "'malformed ' || problem || ': ' || coalesce(line, concat_ws(' ', series_id, year, period, value))"
+        good = F.expr(f"CASE WHEN problem IS NULL THEN selected ELSE CAST(raise_error({said}) AS BOOLEAN) END")
+    else:
+        good = F.expr("selected AND problem IS NULL")
+    return records.where(good).selectExpr(
         "state_code", "industry_code", "dataelement_code", "ratelevel_code",
-        "make_date(CAST(year AS INT), CAST(substring(period, 2, 2) AS INT), 1) AS ref_date",
-        "CAST(value AS DOUBLE) AS value",
+        "make_date(try_cast(year AS INT), try_cast(substring(period, 2, 2) AS INT), 1) AS ref_date",
+        "try_cast(value AS DOUBLE) AS value",
     )
 
 
+def series_rejects(series: DataFrame, national_only: bool = False) -> DataFrame:
+    """The malformed records with what is wrong with each."""
+    return series_records(series, national_only).where("problem IS NOT NULL").select(
+        *schemas.SERIES_REJECT.fieldNames())
+
+
 # --- published rows ----------------------------------------------------------
 
 

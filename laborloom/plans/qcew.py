@@ -44,9 +44,26 @@ GEOGRAPHY_LEVELS = ["division", "region"]
 def year_range(bulk: DataFrame, start_year: int, end_year: int) -> DataFrame:
     """Rows of the years ``start_year`` to ``end_year``, both included.
 
-    The number decides, however the text spells it; on a partitioning by year it prunes.
+    The number decides, however the text spells it; on a partitioning by year it prunes. Text
+    that is no number stops the query in any session.
     """
-    return bulk.where(F.col("year").cast("int").between(start_year, end_year))
+    # The first condition can prune folders, the second can stop the query.
+    maybe = F.coalesce(F.expr("try_cast(year AS INT)").between(start_year, end_year), F.lit(True))
+    return bulk.where(maybe).where(F.expr(schemas.strict_cast("year", "INT")).between(start_year, end_year))
+
+
+def years_of(stored: DataFrame, start_year: int | None = None, end_year: int | None = None) -> DataFrame:
+    """A stored table in the input contract, cut to the given years where they are given.
+
+    Where the table has the years' numbers, their folders or statistics prune; the text is
+    read again on the rows that are left, so it still decides.
+    """
+    if start_year is None and end_year is None:
+        return schemas.conform(stored, schemas.QCEW_INPUT)
+    first, last = (-(1 << 31) if start_year is None else start_year), ((1 << 31) - 1 if end_year is None else end_year)
+    if schemas.YEAR_NUMBER in stored.columns:
+        stored = stored.where(F.col(schemas.YEAR_NUMBER).between(first, last))
+    return year_range(schemas.conform(stored, schemas.QCEW_INPUT), first, last)
 
 
 def monthly(bulk: DataFrame) -> DataFrame:

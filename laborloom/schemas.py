@@ -34,6 +34,12 @@ JOLTS_OUTPUT = _struct(
 )
 
 SERIES_INPUT = _struct(series_id=_S, year=_S, period=_S, value=_S, footnote_codes=_S)
+#: With the text of records that do not have the header's number of fields.
+SERIES_RECORD = _struct(series_id=_S, year=_S, period=_S, value=_S, footnote_codes=_S, line=_S)
+SERIES_REJECT = _struct(problem=_S, series_id=_S, year=_S, period=_S, value=_S, line=_S)
+
+#: The number of ``year`` beside its text, by which clustered census tables are laid out.
+YEAR_NUMBER = "year_number"
 
 
 def strict_cast(name: str, kind: str) -> str:

@@ -32,8 +32,7 @@ class LakeSource:
 
     def read_qcew(self, spark: SparkSession, start_year: int = 2003, end_year: int = 2025) -> DataFrame:
         """Quarterly census rows of the years ``start_year`` to ``end_year``, both included."""
-        bulk = schemas.conform(spark.table(self._table(self.qcew_table)), schemas.QCEW_INPUT)
-        return qcew.year_range(bulk, start_year, end_year)
+        return qcew.years_of(spark.table(self._table(self.qcew_table)), start_year, end_year)
 
     def read_jolts(self, spark: SparkSession) -> DataFrame:
         return schemas.conform(spark.table(self._table(self.jolts_table)), schemas.JOLTS_INPUT)

@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import pytest
+from pyspark.sql import functions as F
+
 from builders import bag, census, census_row, observation, survey
-from laborloom import jobs
+from laborloom import jobs, sinks
 from laborloom.plans import jolts, qcew
 
 
@@ -47,3 +50,72 @@ def test_series_job_feeds_the_turnover_job(spark, tmp_path):
     assert jobs.main(["jolts", "--jolts-path", middle, "--output", out]) == 0
     assert {(r.industry_code, r.rate_level, r.value) for r in spark.read.parquet(out).collect()} == {
         ("30", "level", 100.0), ("30", "rate", 4.0), ("06", "level", 100.0), ("06", "rate", 4.0)}
+
+
+def listing(folder):
+    return sorted(p.name for p in folder.iterdir())
+
+
+def test_a_failing_job_leaves_the_earlier_output(spark, tmp_path):
+    """One of many rows is malformed and found only after other tasks have written theirs."""
+    out, source = tmp_path / "out", str(tmp_path / "bulk")
+    census(spark, [census_row(months=(5, 6, 7))]).write.parquet(source)
+    assert jobs.main(["qcew", "--bulk-path", source, "--output", str(out)]) == 0
+    before = bag(spark.read.parquet(str(out)))
+    rows = spark.range(2000).select(F.when(F.col("id") == 1999, F.expr("raise_error('late')")).otherwise(
+        F.col("id").cast("string")).alias("text")).repartition(20)
+    with pytest.raises(Exception, match="late"):
+        sinks.write_staged(rows, str(out))
+    census(spark, [census_row(months=("many", 6, 7))]).write.mode("append").parquet(source)
+    with pytest.raises(Exception, match="malformed month1_emplvl"):
+        jobs.main(["qcew", "--bulk-path", source, "--output", str(out)])
+    assert bag(spark.read.parquet(str(out))) == before and listing(tmp_path) == ["bulk", "out"]
+
+
+def test_staged_output_replaces_the_earlier_one_as_a_whole(spark, tmp_path):
+    out = str(tmp_path / "new" / "out")
+    assert sinks.write_staged(spark.range(10).toDF("a"), out) == 10
+    assert sinks.write_staged(spark.range(3).toDF("b"), out) == 3
+    assert spark.read.parquet(out).columns == ["b"] and spark.read.parquet(out).count() == 3
+    assert sinks.write_staged(spark.range(0).toDF("c"), out) == 0
+    assert spark.read.parquet(out).columns == ["b"]
+    assert sinks.write_staged(spark.range(0).toDF("c"), out, allow_empty=True) == 0
+    assert spark.read.parquet(out).columns == ["c"] and listing(tmp_path / "new") == ["out"]
+
+
+def test_an_output_left_aside_is_put_back(spark, tmp_path):
+    out = tmp_path / "out"
+    sinks.write_staged(spark.range(4).toDF("a"), str(out))
+    out.rename(tmp_path / ".out.previous-0")  # as a run that dies between its two renames
+    assert sinks.write_staged(spark.range(0).toDF("a"), str(out)) == 0
+    assert spark.read.parquet(str(out)).count() == 4
+
+
+def test_publishing_that_fails_puts_the_earlier_output_back(spark, tmp_path):
+    out = str(tmp_path / "out")
+    sinks.write_staged(spark.range(4).toDF("a"), out)
+    target = sinks.Target(spark, out)
+    with pytest.raises(Exception, match="rename|does not exist"):
+        target.publish()  # nothing is staged
+    assert spark.read.parquet(out).count() == 4 and listing(tmp_path) == ["out"]
+
+
+def test_cluster_job(spark, tmp_path):
+    rows = census(spark, [census_row(year=str(y)) for y in range(2010, 2020)])
+    rows.write.parquet(str(tmp_path / "bulk"))
+    out = str(tmp_path / "by_year")
+    assert jobs.main(["cluster", "--bulk-path", str(tmp_path / "bulk"), "--output", out]) == 0
+    assert len(list((tmp_path / "by_year").glob("year_number=*"))) == 10
+    assert bag(qcew.to_ces(jobs.read_qcew(spark, out))) == bag(qcew.to_ces(rows))
+
+
+def test_series_job_with_rejects(spark, tmp_path, capsys):
+    path, out, rejects = tmp_path / "series.txt", str(tmp_path / "survey"), str(tmp_path / "rejects")
+    path.write_text("series_id\tyear\tperiod\tvalue\tfootnote_codes\n"
+                    "JTS300000000000000HIL\t2024\tM03\t100\t\nJTS300000000000000HIR\t2024\tM03\n")
+    with pytest.raises(Exception, match="malformed number of fields"):
+        jobs.main(["series", "--series-path", str(path), "--output", out])
+    assert jobs.main(["series", "--series-path", str(path), "--output", out, "--rejects", rejects]) == 0
+    assert "1 records refused" in capsys.readouterr().err
+    assert [r.problem for r in spark.read.parquet(rejects).collect()] == ["number of fields"]
+    assert spark.read.parquet(out).count() == 1
