@@ -184,6 +184,7 @@ QCEW_SQL = {
     "qcew_divisions": query(DIVISIONS, f"SELECT {_ROW} FROM divisions"),
     "qcew_regions": query(REGIONS, f"SELECT {_ROW} FROM regions"),
     "qcew_to_ces": query(CES, f"SELECT {_ROW} FROM ces"),
+    "qcew_to_ces_one_scan": query(CES, f"SELECT {_ROW} FROM ces"),
     "qcew_summary": query(CES, """
         SELECT count(*) AS n_rows, count(DISTINCT industry_code) AS n_industries FROM ces"""),
     "qcew_hierarchy_decode": query([*SECTORS, _HIERARCHY_TABLE], f"""
@@ -328,6 +329,19 @@ JOLTS_SQL = {
                count(DISTINCT geographic_code) AS n_geographies FROM turnover"""),
 }
 
+# The survey with repeated, second, zero and missing values in some months.
+HARD_SURVEY = SURVEY.replace("survey AS (", "plain AS (") + """,
+survey AS (
+  SELECT * FROM plain
+  UNION ALL SELECT * REPLACE (value + 8 AS value) FROM plain WHERE ratelevel_code = 'L' AND month(ref_date) % 4 = 1
+  UNION ALL SELECT * REPLACE (value * 2 AS value) FROM plain WHERE ratelevel_code = 'R' AND month(ref_date) % 6 = 2
+  UNION ALL SELECT * FROM plain WHERE ratelevel_code = 'R' AND month(ref_date) % 6 = 2
+  UNION ALL SELECT * REPLACE (0.0::DOUBLE AS value) FROM plain WHERE ratelevel_code = 'R' AND month(ref_date) % 6 = 3
+  UNION ALL SELECT * REPLACE (NULL::DOUBLE AS value) FROM plain WHERE ratelevel_code = 'L' AND month(ref_date) = 5)"""
+
+HARD_SQL = {f"{name}_hard": JOLTS_SQL[name].replace(SURVEY, HARD_SURVEY)
+            for name in ("jolts_implied_employment", "jolts_domain06")}
+
 # --- series files ------------------------------------------------------------
 
 SERIES = f"""series AS (
@@ -363,4 +377,33 @@ SERIES_SQL = {
           AND dataelement_code IN ('HI', 'TS') AND period <> 'M13'"""),
 }
 
-ORACLE_SQL: dict[str, str] = {**QCEW_SQL, **JOLTS_SQL, **SERIES_SQL}
+# The same records with faults in some orders' fields, of which the first one counts.
+_FAULTY = SERIES.replace(
+    "|| CASE WHEN l_linestatus = 'O' THEN 'L' ELSE 'R' END AS series_id",
+    "|| CASE WHEN l_orderkey % 79 = 0 THEN '' WHEN l_linestatus = 'O' THEN 'L' ELSE 'R' END AS series_id").replace(
+    "CAST(year(l_shipdate) AS VARCHAR) AS year",
+    "CASE WHEN l_orderkey % 97 = 0 THEN '20x4' ELSE CAST(year(l_shipdate) AS VARCHAR) END AS year").replace(
+    "'M' || CASE WHEN l_linenumber = 7 THEN '13'",
+    "CASE WHEN l_orderkey % 83 = 0 THEN 'M1' ELSE 'M' || CASE WHEN l_linenumber = 7 THEN '13'").replace(
+    "2, '0') END AS period", "2, '0') END END AS period").replace(
+    "CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS value",
+    "CASE WHEN l_orderkey % 89 = 0 THEN 'many' ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS value")
+_SELECTED = SERIES_SQL["jolts_series_filter"].split("WHERE seasonal")[1]
+CHECKED = [_FAULTY, f"""checked AS (
+  SELECT *, CASE WHEN length(series_id) < 21 THEN 'series id' WHEN period = 'M1' THEN 'period'
+                 WHEN selected AND year = '20x4' THEN 'year' WHEN selected AND value = 'many' THEN 'value' END AS problem
+  FROM (SELECT *, seasonal{_SELECTED} AS selected FROM parsed))"""]
+FILE_SQL = {
+    "qcew_clustered_years": QCEW_SQL["qcew_year_range_scan"],
+    "jolts_mapped_files": JOLTS_SQL["jolts_mapped"],
+    "jolts_series_ingest": query(CHECKED, """
+        SELECT state_code, industry_code, dataelement_code, ratelevel_code,
+               make_date(CAST(year AS INTEGER), CAST(substr(period, 2, 2) AS INTEGER), 1) AS ref_date,
+               CAST(value AS DOUBLE) AS value
+        FROM checked WHERE selected AND problem IS NULL"""),
+    "jolts_series_rejects": query(CHECKED, """
+        SELECT problem, series_id, year, period, value, CAST(NULL AS VARCHAR) AS line
+        FROM checked WHERE problem IS NOT NULL"""),
+}
+
+ORACLE_SQL: dict[str, str] = {**QCEW_SQL, **JOLTS_SQL, **HARD_SQL, **SERIES_SQL, **FILE_SQL}

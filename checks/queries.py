@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from checks import shapes
 from laborloom.plans import decode, jolts, qcew
+from laborloom.sources import read_jolts, read_qcew, read_series
 
 Query = Callable[[SparkSession, str], DataFrame]
 #: Years of the range scan; the tables cover 1995 to 2001.
@@ -43,6 +44,7 @@ QCEW_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "qcew_divisions": qcew.divisions,
     "qcew_regions": qcew.regions,
     "qcew_to_ces": qcew.to_ces,
+    "qcew_to_ces_one_scan": lambda bulk: qcew.to_ces(bulk, one_scan=True),
     "qcew_summary": lambda bulk: qcew.summary(qcew.to_ces(bulk)),
     "qcew_hierarchy_decode": decode.hierarchy_titles,
     "qcew_industry_decode": decode.industry_names,
@@ -68,12 +70,28 @@ SERIES_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
     "jolts_series_filter": jolts.select_series,
 }
 
+HARD_QUERIES: dict[str, Callable[[DataFrame], DataFrame]] = {
+    "jolts_implied_employment_hard": jolts.supersector_employment,
+    "jolts_domain06_hard": jolts.domain_06,
+}
+
+#: Through files and the readers.
+FILE_QUERIES: dict[str, Query] = {
+    "qcew_clustered_years": lambda spark, sf_dir: read_qcew(spark, shapes.clustered_files(spark, sf_dir), *YEARS),
+    "jolts_mapped_files": lambda spark, sf_dir: jolts.mapped(read_jolts(spark, shapes.survey_files(spark, sf_dir))),
+    "jolts_series_ingest": lambda spark, sf_dir: jolts.select_series(
+        read_series(spark, shapes.series_files(spark, sf_dir)), strict=False),
+    "jolts_series_rejects": lambda spark, sf_dir: jolts.series_rejects(
+        read_series(spark, shapes.series_files(spark, sf_dir))),
+}
+
 QUERIES: dict[str, Query] = {
     name: over(shape, plan)
     for shape, plans in [
         (shapes.qcew_bulk, QCEW_QUERIES),
         (shapes.jolts_survey, JOLTS_QUERIES),
         (shapes.jolts_series, SERIES_QUERIES),
+        (shapes.hard_survey, HARD_QUERIES),
     ]
     for name, plan in plans.items()
-}
+} | FILE_QUERIES

@@ -7,10 +7,14 @@ census rows is national, which makes a few very hot groups.
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from laborloom import fixed_values as fixed
+from laborloom import schemas, sinks
 from laborloom.operators import shared
 
 STATE_CODES = [fips for fips, _, _ in fixed.STATES]
@@ -21,6 +25,8 @@ NAICS3_CODES = [*fixed.NONDURABLE_NAICS3, *fixed.DURABLE_NAICS3]
 #: The survey's industries in order, then one that maps to nothing.
 SURVEY_CODES = [*(code for code, _, _ in fixed.TURNOVER_INDUSTRIES), "900000"]
 SURVEY_ELEMENTS = ["HI", "TS", "JO"]
+LAST_FIELD = "IF(l_linestatus = 'O', 'L', 'R')"
+PERIOD = "'M' || IF(l_linenumber = 7, '13', lpad(CAST(month(l_shipdate) AS STRING), 2, '0'))"
 SURVEY_STATES = ["00", "00", "00", "06", "41", "72"]
 
 
@@ -28,6 +34,10 @@ def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
 
 
+def quoted(text: str) -> str:
+    return f"'{text}'"
+
+
 def pick(codes: list[str], index: str) -> str:
     """SQL text for the code at position ``index % len(codes)``."""
     return f"element_at(split('{' '.join(codes)}', ' '), CAST({index} % {len(codes)} + 1 AS INT))"
@@ -92,17 +102,68 @@ def jolts_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
     return levels.selectExpr(both).where("value IS NOT NULL")
 
 
-def jolts_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+def hard_survey(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The survey with repeated, second, zero and missing values in some months."""
+    month = "month(ref_date)"
+    added = [  # value, whether it is added
+        ("published", "true"),
+        ("published + 8", f"ratelevel_code = 'L' AND {month} % 4 = 1"),
+        ("published * 2", f"ratelevel_code = 'R' AND {month} % 6 = 2"),
+        ("published", f"ratelevel_code = 'R' AND {month} % 6 = 2"),
+        ("0.0D", f"ratelevel_code = 'R' AND {month} % 6 = 3"),
+        ("CAST(NULL AS DOUBLE)", f"ratelevel_code = 'L' AND {month} = 5"),
+    ]
+    values = ", ".join(f"named_struct('value', {value}, 'added', {when})" for value, when in added)
+    return jolts_survey(spark, sf_dir).withColumnRenamed("value", "published").selectExpr(
+        *[c for c in schemas.JOLTS_INPUT.fieldNames() if c != "value"],
+        f"inline(filter(array({values}), x -> x.added))").drop("added")
+
+
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A new folder for files that a query writes and reads again, in the folder that the cluster
+    names in ``spark.checkpoint.dir``; on one machine without it, in a temporary one."""
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        folder = tempfile.mkdtemp(prefix="laborloom-")
+    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def clustered_files(spark: SparkSession, sf_dir: str) -> str:
+    """The census written by year."""
+    path = shared_path(spark, "census")
+    sinks.write_clustered(qcew_bulk(spark, sf_dir), path)
+    return path
+
+
+def survey_files(spark: SparkSession, sf_dir: str) -> str:
+    path = shared_path(spark, "survey")
+    sinks.write_staged(jolts_survey(spark, sf_dir), path)
+    return path
+
+
+def series_files(spark: SparkSession, sf_dir: str) -> str:
+    """Series files with a header, in which some records are malformed."""
+    path = shared_path(spark, "series")
+    jolts_series(spark, sf_dir, faults=True).write.csv(path, sep="\t", header=True)
+    return path
+
+
+def jolts_series(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFrame:
     """Rows of a series file: both seasonal kinds, some sub-areas, size classes and annual
-    averages (``M13``)."""
+    averages (``M13``), with ``faults`` in some orders' records."""
+    def field(text: str, order: int, fault: str) -> str:
+        return f"IF(l_orderkey % {order} = 0, {fault}, {text})" if faults else text
+
     # Behind a generator, so that ids are put together once and not once per predicate.
     return shared(lineitem(spark, sf_dir).selectExpr(
         "concat('JT', IF(l_returnflag = 'R', 'U', 'S'), "
         f"{pick(SURVEY_CODES, 'l_suppkey')}, {pick(SURVEY_STATES, 'l_partkey')}, "
         "IF(l_suppkey % 10 = 0, '12345', '00000'), IF(l_quantity >= 45, '01', '00'), "
-        f"{pick(SURVEY_ELEMENTS, 'l_linenumber')}, IF(l_linestatus = 'O', 'L', 'R')) AS series_id",
-        "CAST(year(l_shipdate) AS STRING) AS year",
-        "'M' || IF(l_linenumber = 7, '13', lpad(CAST(month(l_shipdate) AS STRING), 2, '0')) AS period",
-        "CAST(CAST(l_quantity AS BIGINT) AS STRING) AS value",
+        f"{pick(SURVEY_ELEMENTS, 'l_linenumber')}, {field(LAST_FIELD, 79, quoted(''))}) AS series_id",
+        f"{field('CAST(year(l_shipdate) AS STRING)', 97, quoted('20x4'))} AS year",
+        f"{field(PERIOD, 83, quoted('M1'))} AS period",
+        f"{field('CAST(CAST(l_quantity AS BIGINT) AS STRING)', 89, quoted('many'))} AS value",
         "'' AS footnote_codes",
     ))

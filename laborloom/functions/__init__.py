@@ -5,6 +5,7 @@ from laborloom.functions.columns import (
     ieee_div,
     is_any,
     n_unique,
+    order_free_sum,
     positive_count,
     reference_date,
     series_columns,
@@ -17,6 +18,7 @@ __all__ = [
     "ieee_div",
     "is_any",
     "n_unique",
+    "order_free_sum",
     "positive_count",
     "reference_date",
     "series_columns",

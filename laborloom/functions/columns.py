@@ -23,9 +23,26 @@ def ieee_div(a: Column, b: Column) -> Column:
     return F.when(b == 0, at_zero).otherwise(a / b)
 
 
+#: Below this magnitude values are summed as decimals of 12 places, which has no rounding;
+#: 10**8 of them fit the 38 digits.
+EXACTLY_SUMMED = 1e18
+
+
+def order_free_sum(c: Column) -> Column:
+    """Sum of doubles that does not depend on their order, on retries or on the partitioning.
+
+    Each value is taken to 12 decimal places and the decimals are added exactly. Values of
+    ``EXACTLY_SUMMED`` and more, infinite ones and NaN are added as doubles beside them.
+    """
+    ordinary = F.abs(c) < EXACTLY_SUMMED
+    exact = F.sum(F.when(ordinary, c).cast("decimal(38,12)")).cast("double")
+    rest = F.sum(F.when(~ordinary, c))
+    return F.coalesce(exact + rest, exact, rest)
+
+
 def sum_or_zero(c: Column) -> Column:
-    """Sum that is 0.0, not NULL, for a group without values."""
-    return F.coalesce(F.sum(c), F.lit(0.0))
+    """Order-free sum that is 0.0, not NULL, for a group without values."""
+    return F.coalesce(order_free_sum(c), F.lit(0.0))
 
 
 def n_unique(name: str) -> Column:
@@ -35,9 +52,8 @@ def n_unique(name: str) -> Column:
 
 
 def positive_count(name: str) -> Column:
-    """A count given as text, NULL when suppressed or zero; malformed text stops the query."""
-    number = strict_cast(name, "DOUBLE")
-    return F.expr(f"CASE WHEN {number} > 0 THEN {number} END")
+    """A count given as text, 0 when suppressed or below; malformed text stops the query."""
+    return F.expr(f"greatest({strict_cast(name, 'DOUBLE')}, 0.0D)")
 
 
 def area_geography(area: str = "area_fips") -> list[Column]:

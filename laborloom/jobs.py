@@ -18,22 +18,28 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from laborloom.plans import jolts, qcew
-from laborloom.sinks import write_clustered, write_staged
+from laborloom.sinks import write_clustered, write_counted, write_staged
 from laborloom.sources import read_jolts, read_qcew, read_series
 
 
+#: What a job says of the numbers it has counted.
+COUNTED = {"rows": "rows", "industry_code": "industries", "geographic_code": "geographies"}
+
+
 def balanced(rows: DataFrame) -> DataFrame:
     """Evenly sized output files: rows that pass a scan unshuffled would leave a file per split."""
     return rows.hint("rebalance")
 
 
-def run_qcew(spark: SparkSession, bulk_path: str, output: str) -> int:
-    return write_staged(balanced(qcew.to_ces(read_qcew(spark, bulk_path))), output)
+def run_qcew(spark: SparkSession, bulk_path: str, output: str) -> dict[str, int]:
+    """Rows and industries written."""
+    return write_counted(balanced(qcew.to_ces(read_qcew(spark, bulk_path))), output, ["industry_code"])
 
 
-def run_jolts(spark: SparkSession, jolts_path: str, output: str) -> int:
-    # Sampling for the order then reads shuffled rows and not the input again.
-    return write_staged(jolts.ordered(balanced(jolts.to_ces(read_jolts(spark, jolts_path)))), output)
+def run_jolts(spark: SparkSession, jolts_path: str, output: str) -> dict[str, int]:
+    """Rows, industries and geographies written."""
+    rows = jolts.ordered(jolts.to_ces(read_jolts(spark, jolts_path)))
+    return write_counted(rows, output, ["industry_code", "geographic_code"])
 
 
 def run_series(spark: SparkSession, series_path: str, output: str, rejects: str | None = None) -> int:
@@ -71,11 +77,13 @@ def main(argv: Sequence[str] | None = None) -> int:
     run = {"qcew": run_qcew, "jolts": run_jolts, "series": run_series, "cluster": run_cluster}[args.command]
     more = {"rejects": args.rejects} if args.command == "series" else {}
     spark = SparkSession.builder.appName(f"laborloom-{args.command}").getOrCreate()
-    rows = run(spark, args.source, args.output, **more)
-    if not rows:
+    done = run(spark, args.source, args.output, **more)
+    found = done if isinstance(done, dict) else {"rows": done}
+    if not found["rows"]:
         print(f"{args.command}: the input gives no rows, nothing written", file=sys.stderr)
         return 1
-    print(f"{args.command}: {rows} rows in {args.output}")
+    counts = [f"{found[name]} {said}" for name, said in COUNTED.items() if name in found]
+    print(f"{args.command}: {', '.join(counts)} in {args.output}")
     return 0
 
 

@@ -11,11 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laborloom.functions import ieee_div
-from laborloom.operators.sharing import shared
+from laborloom.functions import ieee_div, order_free_sum
+from laborloom.operators.sharing import repeated, shared
 
-#: Copies of a pair that one task writes out at a time.
-COPIES_IN_BLOCK = 4096
 #: Parts that the levels of one key are cut into before each meets all the key's rates.
 LEVEL_PARTS = 16
 SERIES_KEY = ["geographic_type", "geographic_code", "industry_code", "data_element", "ref_date"]
@@ -43,7 +41,7 @@ def implied_employment(observed: DataFrame) -> DataFrame:
     level, copies = F.col("level"), F.col("level_copies")
     levels = _side(observed, "level").groupBy(*SERIES_KEY).agg(
         F.sum(copies).alias("levels"),
-        F.sum(level * copies).alias("level_sum"),
+        order_free_sum(level * copies).alias("level_sum"),
         # A zero rate is applied level by level, since inf and NaN do not survive factoring out.
         F.sum(ieee_div(level * 100.0, F.lit(0.0))).alias("employment_at_zero"),
     )
@@ -62,9 +60,8 @@ def level_rate_pairs(observed: DataFrame) -> DataFrame:
     """Each level next to each rate of its key, with the employment they imply.
 
     For series whose pairs are themselves output rows, so each of their copies is a row too.
-    Copies are written out in blocks that are first spread over tasks, so that neither an
-    array nor a task grows with a heavily repeated pair. The levels of one key are cut into
-    parts by value, so that many distinct ones do not meet its rates in one task.
+    The levels of one key are cut into parts by value, so that many distinct ones do not meet
+    its rates in one task.
     """
     part = F.pmod(F.xxhash64("level"), F.lit(LEVEL_PARTS))
     levels = _side(observed, "level").withColumn("part", part)
@@ -72,15 +69,9 @@ def level_rate_pairs(observed: DataFrame) -> DataFrame:
     rates = _side(observed, "rate").withColumn("part", F.explode(parts))
     pairs = levels.join(rates, on=[*SERIES_KEY, "part"])
     copies = F.col("level_copies") * F.col("rate_copies")
-    last = F.floor((copies - 1) / COPIES_IN_BLOCK)
-    counted = pairs.select(*SERIES_KEY, "level", "rate", copies.alias("copies"), last.alias("last"))
-    blocks = counted.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("last"))).alias("block"))
-    spread = blocks.repartition(*SERIES_KEY, "level", "rate", "block")
-    rest = F.least(F.lit(COPIES_IN_BLOCK).cast("long"), F.col("copies") - F.col("block") * COPIES_IN_BLOCK)
-    return spread.select(
+    return repeated(pairs.select(*SERIES_KEY, "level", "rate", copies.alias("copies")), "copies").select(
         *SERIES_KEY,
         F.col("level").alias("level_value"),
         F.col("rate").alias("rate_value"),
         ieee_div(F.col("level") * 100.0, F.col("rate")).alias("employment"),
-        F.explode(F.sequence(F.lit(1).cast("long"), rest)).alias("copy"),
-    ).drop("copy")
+    )

@@ -48,9 +48,9 @@ def domain_names(bulk: DataFrame) -> DataFrame:
 
 def _sectors_seen(bulk: DataFrame) -> DataFrame:
     """Distinct sectors with employment: at most one row per sector, from one pass."""
-    any_count = F.max(F.coalesce(*MONTH_COLUMNS)).alias("any_count")
-    return qcew.classified(bulk).groupBy(F.col("industry_code").alias("sector_code")).agg(any_count).where(
-        F.col("any_count").isNotNull()).select("sector_code")
+    largest = F.max(F.greatest(*MONTH_COLUMNS)).alias("largest")
+    return qcew.classified(bulk).groupBy(F.col("industry_code").alias("sector_code")).agg(largest).where(
+        F.col("largest") > 0).select("sector_code")
 
 
 def sector_codes_seen(bulk: DataFrame) -> DataFrame:

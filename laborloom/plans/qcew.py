@@ -7,6 +7,10 @@ Two passes over the input, whatever its size:
    the cells are then fanned out over industries and geographies and summed once more;
 2. published totals are selected as they are, row by row.
 
+With ``one_scan`` the totals go through the first pass's shuffle with their counts in the key
+and their number beside them, and are written out as often again behind it. That reads the
+input once, but shuffles what the second pass would only filter.
+
 Employment counts are integers, hence exact as doubles in any order of summation.
 """
 
@@ -27,6 +31,8 @@ from laborloom.operators import (
     months_long,
     over_geographies,
     over_industries,
+    repeated,
+    shared,
     sum_cells,
 )
 
@@ -123,6 +129,19 @@ def _sector_rows(cells: DataFrame) -> DataFrame:
     return _rows(cells.withColumn("industry_type", F.lit("sector")))
 
 
+def _cells_and_totals(bulk: DataFrame, one_scan: bool) -> tuple[DataFrame, DataFrame]:
+    """Cells of all sub-populations and the rows of :func:`total_rows`."""
+    if not one_scan:
+        return sector_cells(bulk, ALL_STREAMS), total_rows(bulk)
+    published = F.when(F.col("industry_code") == fixed.NATIONAL_CODE, F.struct(*MONTH_COLUMNS)).alias("published")
+    cells = shared(classified(bulk, ALL_STREAMS).groupBy(*CELL, published).agg(
+        *[F.sum(m).alias(m) for m in MONTH_COLUMNS], F.count(F.lit(1)).alias("copies")))
+    totals = cells.where(F.col("published").isNotNull()).select(
+        *CELL, "published.*", "copies", F.lit("national").alias("industry_type"))
+    rows = repeated(months_long(totals, [*ROW_KEY, "copies"]), "copies")
+    return cells.drop("published", "copies"), rows.select(*OUTPUT_COLUMNS)
+
+
 # --- stages ------------------------------------------------------------------
 
 
@@ -162,25 +181,26 @@ def hierarchy(bulk: DataFrame) -> DataFrame:
     return summed.unionByName(total_rows(bulk))
 
 
-def _all_levels(bulk: DataFrame) -> DataFrame:
+def _all_levels(cells: DataFrame) -> DataFrame:
     """Cells fanned out to sector, supersector and domain, with summed totals marked ``national``."""
-    return over_industries(sector_cells(bulk, ALL_STREAMS), ["national", *INDUSTRY_LEVELS])
+    return over_industries(cells, ["national", *INDUSTRY_LEVELS])
 
 
 def divisions(bulk: DataFrame) -> DataFrame:
-    return _rows(sum_cells(over_geographies(_all_levels(bulk), ["division"]), "industry_type"))
+    return _rows(sum_cells(over_geographies(_all_levels(sector_cells(bulk, ALL_STREAMS)), ["division"]), "industry_type"))
 
 
 def regions(bulk: DataFrame) -> DataFrame:
-    return _rows(sum_cells(over_geographies(_all_levels(bulk), ["region"]), "industry_type"))
+    return _rows(sum_cells(over_geographies(_all_levels(sector_cells(bulk, ALL_STREAMS)), ["region"]), "industry_type"))
 
 
-def to_ces(bulk: DataFrame) -> DataFrame:
+def to_ces(bulk: DataFrame, one_scan: bool = False) -> DataFrame:
     """The whole pipeline: employment in thousands at every industry and geography level."""
     # Totals reach divisions and regions as sums but stay unsummed at their own level.
     own_level = F.col("industry_type") != "national"
-    summed = _rows(sum_cells(over_geographies(_all_levels(bulk), GEOGRAPHY_LEVELS, keep_own=own_level), "industry_type"))
-    return in_thousands(summed.unionByName(total_rows(bulk)))
+    cells, totals = _cells_and_totals(bulk, one_scan)
+    summed = _rows(sum_cells(over_geographies(_all_levels(cells), GEOGRAPHY_LEVELS, keep_own=own_level), "industry_type"))
+    return in_thousands(summed.unionByName(totals))
 
 
 def in_thousands(rows: DataFrame) -> DataFrame:
@@ -197,4 +217,4 @@ def summary(rows: DataFrame) -> DataFrame:
 
 def is_empty(bulk: DataFrame) -> bool:
     """Whether the pipeline would give no row; stops at the first input row that counts."""
-    return classified(bulk, ALL_STREAMS).where(F.coalesce(*MONTH_COLUMNS).isNotNull()).isEmpty()
+    return classified(bulk, ALL_STREAMS).where(F.greatest(*MONTH_COLUMNS) > 0).isEmpty()

@@ -43,10 +43,10 @@ YEAR_NUMBER = "year_number"
 
 
 def strict_cast(name: str, kind: str) -> str:
-    """SQL text of a cast that stops on a value it cannot convert, in any session."""
+    """SQL text of a cast that stops on a value it cannot convert, in any session; it casts once."""
     text = f"'malformed {name}: ' || CAST({name} AS STRING)"
-    return (f"CASE WHEN {name} IS NOT NULL AND try_cast({name} AS {kind}) IS NULL "
-            f"THEN CAST(raise_error({text}) AS {kind}) ELSE try_cast({name} AS {kind}) END")
+    return (f"coalesce(try_cast({name} AS {kind}), "
+            f"CASE WHEN {name} IS NOT NULL THEN CAST(raise_error({text}) AS {kind}) END)")
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -61,24 +61,33 @@ class Target:
         self.files.delete(self.staging, True)
 
 
-def write_staged(rows: DataFrame, output: str, partition_by: Sequence[str] = (), allow_empty: bool = False) -> int:
-    """Writes ``rows`` as Parquet and returns their number, counted while they are written.
-
-    The output changes only if all rows were written and, unless ``allow_empty``, there are
-    any; after a failure or without rows it is what it was.
+def write_counted(rows: DataFrame, output: str, distinct: Sequence[str] = (), partition_by: Sequence[str] = (),
+                  allow_empty: bool = False) -> dict[str, int]:
+    """Writes ``rows`` as Parquet; their number, under ``rows``, and the exact number of different
+    values, NULL one of them, in the columns ``distinct``, all from the run that writes.
+
+    The columns must be ones of few values, such as codes: each task sends its own. The output
+    changes only if all rows were written and, unless ``allow_empty``, there are any; after a
+    failure or without rows it is what it was.
     """
     target = Target(rows.sparkSession, output)
     target.recover()
     seen = Observation("written")
-    counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+    values = [F.collect_set(F.struct(F.col(c))).alias(c) for c in distinct]
+    counted = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *values)
     try:
         counted.write.partitionBy(*partition_by).parquet(target.staging.toString())
-        written = seen.get["rows"]
-        if written or allow_empty:
+        found = {name: value if name == "rows" else len(value) for name, value in seen.get.items()}
+        if found["rows"] or allow_empty:
             target.publish()
     finally:
         target.discard()  # what is left of it
-    return written
+    return found
+
+
+def write_staged(rows: DataFrame, output: str, partition_by: Sequence[str] = (), allow_empty: bool = False) -> int:
+    """:func:`write_counted` for the number of rows alone."""
+    return write_counted(rows, output, (), partition_by, allow_empty)["rows"]
 
 
 def clustered(bulk: DataFrame) -> DataFrame:

@@ -15,10 +15,11 @@ def test_qcew_job(spark, tmp_path, capsys):
     assert jobs.main(["qcew", "--bulk-path", str(tmp_path / "bulk"), "--output", out]) == 0
     written = spark.read.parquet(out)
     assert bag(written) == bag(qcew.to_ces(bulk))
-    assert f"{written.count()} rows in {out}" in capsys.readouterr().out
+    summary = qcew.summary(written).first()
+    assert f"qcew: {summary.n_rows} rows, {summary.n_industries} industries in {out}" in capsys.readouterr().out
 
 
-def test_jolts_job_keeps_the_order(spark, tmp_path):
+def test_jolts_job_keeps_the_order(spark, tmp_path, capsys):
     rows = [observation("300000", kind, value, state=state) for state in ("41", "06", "00")
             for kind, value in (("R", 2.0), ("L", 100.0))]
     survey(spark, rows).write.parquet(str(tmp_path / "survey"))
@@ -27,6 +28,9 @@ def test_jolts_job_keeps_the_order(spark, tmp_path):
     written = spark.read.parquet(out)
     assert bag(written) == bag(jolts.to_ces(survey(spark, rows)))
     assert {row.geographic_code for row in written.collect()} == {"00", "06", "41"}
+    found = jolts.summary(written).first()
+    assert (f"jolts: {found.n_rows} rows, {found.n_industries} industries, {found.n_geographies} geographies in {out}"
+            in capsys.readouterr().out)
 
 
 def test_nothing_to_write(spark, tmp_path, capsys):
@@ -119,3 +123,18 @@ def test_series_job_with_rejects(spark, tmp_path, capsys):
     assert "1 records refused" in capsys.readouterr().err
     assert [r.problem for r in spark.read.parquet(rejects).collect()] == ["number of fields"]
     assert spark.read.parquet(out).count() == 1
+
+
+def test_counts_come_from_the_run_that_writes(spark, tmp_path):
+    """Each input row is read once, and NULL is one more value."""
+    read = spark.sparkContext.accumulator(0)
+    rows = spark.range(0, 1000, 1, 7).selectExpr("id % 5 AS a", "IF(id % 3 = 0, NULL, cast(id % 3 AS string)) AS b")
+
+    def passing(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    found = sinks.write_counted(rows.mapInArrow(passing, rows.schema), str(tmp_path / "out"), ["a", "b"])
+    assert found == {"rows": 1000, "a": 5, "b": 3} and read.value == 1000
+    assert sinks.write_counted(rows.limit(0), str(tmp_path / "out"), ["a"]) == {"rows": 0, "a": 0}

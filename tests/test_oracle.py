@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
@@ -21,6 +25,16 @@ def test_every_query_has_sql():
     assert set(QUERIES) <= set(queries()) and set(oracle_sql()) <= set(queries())
 
 
+@pytest.mark.parametrize("missing", ["laborloom.llm", "corpus_pipeline", "tiktoken", "regex", "public_tokenizers"])
+def test_the_rest_works_without_the_operators_and_their_needs(missing):
+    """In a new interpreter that cannot import the module."""
+    code = ("import sys; sys.modules[sys.argv[1]] = None; import __spark_entry__ as e; from checks.queries import QUERIES; "
+            "assert set(e.queries()) == set(QUERIES) == set(e.oracle_sql())")
+    done = subprocess.run([sys.executable, "-c", code, missing], cwd=Path(__file__).resolve().parents[1], timeout=120,
+                          capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
+
+
 def test_entry_gives_rows(spark):
     assert entry(spark).limit(1).count() == 1
 

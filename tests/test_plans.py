@@ -45,6 +45,23 @@ def test_employment_takes_two_scans_and_two_shuffles(bulk):
     assert plan.index("Expand") < plan.index("HashAggregate")
 
 
+def test_employment_in_one_scan(bulk):
+    assert final_plan(qcew.to_ces(bulk, one_scan=True)).count("FileScan parquet") == 1
+
+
+def test_ordering_reads_the_input_no_further_time(spark, turnover):
+    """The published rows and the derived ones: two scans, and none for finding the ranges."""
+    rows = jolts.to_ces(turnover)
+    assert final_plan(jolts.ordered(rows)).count("FileScan parquet") == 2
+    plan = final_plan(jolts.ordered(rows))
+    assert plan.index("rangepartitioning") < plan.index("REBALANCE_PARTITIONS_BY_NONE")
+
+
+def test_a_count_is_cast_once(bulk):
+    plan = qcew.total_rows(bulk)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_cast(month1_emplvl") <= 1 and plan.count("month1_emplvl") < 12
+
+
 def test_stream_filters_reach_the_scan(bulk):
     scans = re.findall(r"PushedFilters: \[(.*?)\], ReadSchema", initial_plan(qcew.total_rows(bulk)))
     assert len(scans) == 1 and "EqualTo(own_code,0)" in scans[0]

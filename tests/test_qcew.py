@@ -212,3 +212,21 @@ def brute_force(rows):
 def test_whole_pipeline_against_brute_force(spark):
     rows = random_bulk()
     assert bag(qcew.to_ces(census(spark, rows))) == brute_force(rows)
+
+
+def test_one_scan_gives_the_same_rows(spark):
+    rows = [census_row(own="0", level="10", naics="10", months=("5", "0", None))] * 3
+    rows += [census_row(own="0", level="50", naics="10", area=a, months=("7", "8", "9")) for a in ("06000", "06000", "72000")]
+    rows += [census_row(), census_row(area="41000", level="54"), census_row(own="1", level="11", naics="10")]
+    rows += [census_row(own="0", level="10", naics="10", months=(m, "1", "1")) for m in ("-3", "2.5", None)]
+    assert bag(qcew.to_ces(census(spark, rows), one_scan=True)) == bag(qcew.to_ces(census(spark, rows)))
+
+
+def test_a_much_repeated_total_is_written_out_in_blocks(spark):
+    from pyspark.sql import functions as F
+    from laborloom.operators import repeated
+    rows = spark.createDataFrame([("a", 10_000), ("b", 1), ("c", 4096), ("d", 4097)], "name string, copies long")
+    got = {r.name: r["count"] for r in repeated(rows, "copies").groupBy("name").count().collect()}
+    assert got == {"a": 10_000, "b": 1, "c": 4096, "d": 4097}
+    totals = census(spark, [census_row(own="0", level="10", naics="10")]).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(9000))))
+    assert qcew.to_ces(totals.drop("n"), one_scan=True).count() == 27_000
