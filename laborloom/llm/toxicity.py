@@ -18,6 +18,7 @@ scaled.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -46,9 +47,10 @@ LOOKALIKE = str.maketrans("013457@$!|+€", "oieastasilte")
 NEAR = 5
 WORD = re.compile(r"[^\W\d_]+")
 #: Letters with digits or signs between them, or letters spaced out by signs.
-DISGUISED = re.compile(r"(?<!\w)(?=[^\s]*[^\W\d_])(?=[^\s]{0,20}[\d@$!|+€*._-][^\W_])[\w@$!|+€*.-]{3,24}(?!\w)")
-#: No disguise is without one of these.
-SIGN = re.compile(r"[\d@$!|+€*._-]")
+DISGUISED = re.compile(r"(?<!\w)(?=\S{0,20}[\d@$!|+€*._-][^\W_])[\w@$!|+€*.-]{3,24}(?!\w)")
+#: Runs without white space that can hold one, and such a run up to its last letter.
+SIGNED = re.compile(r"(?<!\S)\S*?[\d@$!|+€*._-][^\W_]\S*")
+LETTERED = re.compile(r"\S*[^\W\d_]")
 STEMS = (4, 5, 6)
 FEATURES = 18
 
@@ -80,6 +82,27 @@ class Lexicon:
         return kind
 
 
+def disguises(text: str) -> Iterator[str]:
+    """Disguised words with a letter in them or behind them in the same run without white space.
+
+    Each run is looked at once, so the work is in proportion to the text, whatever is in it.
+    """
+    for run in SIGNED.finditer(text):
+        lettered = LETTERED.match(text, run.start(), run.end())
+        if lettered is None:
+            continue
+        for found in DISGUISED.finditer(text, run.start(), run.end()):
+            if found.start() >= lettered.end():
+                break
+            yield found[0]
+
+
+def near_any(places: list[int], others: list[int], distance: int) -> int:
+    """How many of ``places`` have one of the sorted ``others`` within ``distance``."""
+    behind = (bisect_left(others, i - distance) for i in places)
+    return sum(k < len(others) and others[k] <= i + distance for i, k in zip(places, behind, strict=True))
+
+
 def features(text: str, lexicon: Lexicon) -> list[float]:
     if not text:
         return [0.0] * FEATURES
@@ -90,11 +113,11 @@ def features(text: str, lexicon: Lexicon) -> list[float]:
     hits = [i for i, (a, _) in enumerate(kinds) if a]
     stems = [i for i, (_, b) in enumerate(kinds) if b]
     second = [i for i, w in enumerate(words) if w in SECOND_PERSON]
-    near = sum(any(abs(i - j) <= NEAR for j in second) for i in {*hits, *stems}) if second else 0
+    near = near_any(list({*hits, *stems}), second, NEAR) if second else 0
     disguised = behind = 0
-    for m in DISGUISED.finditer(text) if SIGN.search(text) else ():
+    for found in disguises(text):
         disguised += 1
-        behind += lexicon.kind(re.sub(r"[^\w]|_", "", m[0].lower().translate(LOOKALIKE)))[0]
+        behind += lexicon.kind(re.sub(r"[^\w]|_", "", found.lower().translate(LOOKALIKE)))[0]
     capitals = sum(map(str.isupper, text)) if not text.islower() else 0
     shouted = sum(len(w) > 2 and w.isupper() for w in raw)
     count = text.count
