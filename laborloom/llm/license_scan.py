@@ -169,12 +169,22 @@ def spdx_ids(text: Column) -> Column:
     return F.transform(some, lambda s: F.coalesce(F.try_element_at(names, F.lower(s)), s))
 
 
+def _in_order(parts: list[str]) -> str:
+    """Pattern of a line of identifiers in which the parts occur in their order.
+
+    Each part is taken where it comes first behind the one before and is not looked for again,
+    which decides alike and takes one pass over the line.
+    """
+    first, *rest = parts
+    return f"^(?>.*?,{first},)" + "".join(f"(?>(?:.*?,)??{part},)" for part in rest)
+
+
 def licences(sequence: Column, text: Column) -> Column:
     """Names of the licences whose rules hold, in the order of RULES, then further SPDX ids."""
     line = F.concat(F.lit(","), F.array_join(sequence, ","), F.lit(","))
     holds: dict[str, Column] = {}
     for name, names in RULES:
-        rule = line.rlike("," + r",(?:.*,)?".join(names) + ",")
+        rule = line.rlike(_in_order(names))
         holds[name] = holds[name] | rule if name in holds else rule
     for name, wider in INCLUDED_IN.items():
         holds[name] = holds[name] & ~holds[wider]
