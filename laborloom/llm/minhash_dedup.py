@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from laborloom.llm import texthash as th
@@ -93,11 +93,16 @@ def _lists(values: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(np.arange(len(values) + 1, dtype=np.int32) * values.shape[1], flat)
 
 
+def row_key() -> Column:
+    """Tells rows apart by id and text; those alike in both share it and their fate."""
+    return F.xxhash64(F.coalesce("doc_id", F.lit(LAST)), "text")
+
+
 def features(docs: DataFrame, words: int) -> DataFrame:
-    """(doc, n_shingles, set, bands, sketch) of every text; ``set`` is a 128-bit name of the set."""
+    """(key, doc, n_shingles, set, bands, sketch) of every text; ``set`` is a 128-bit name of the set."""
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column("doc"), th.texts_of(batch)
+            keys, ids, texts = batch.column("key"), batch.column("doc"), th.texts_of(batch)
             for first, last in th.blocks(texts):
                 sets = shingle_sets(texts[first:last], words)
                 full = [i for i, s in enumerate(sets) if len(s)]
@@ -109,12 +114,13 @@ def features(docs: DataFrame, words: int) -> DataFrame:
                     samples = min_hashes([sets[i] for i in full])
                     bands[full], sketches[full] = band_keys(samples), odd_sketches(samples)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.slice(first, last - first), pa.array([len(s) for s in sets], pa.int64()),
+                    [keys.slice(first, last - first), ids.slice(first, last - first),
+                     pa.array([len(s) for s in sets], pa.int64()),
                      pa.array(names, pa.binary()), _lists(bands), _lists(sketches)],
-                    ["doc", "n_shingles", "set", "bands", "sketch"])
+                    ["key", "doc", "n_shingles", "set", "bands", "sketch"])
 
-    return docs.select("doc", "text").mapInArrow(
-        each, "doc long, n_shingles long, set binary, bands array<long>, sketch array<long>")
+    return docs.select("key", "doc", "text").mapInArrow(
+        each, "key long, doc long, n_shingles long, set binary, bands array<long>, sketch array<long>")
 
 
 def close_sketches(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -126,16 +132,18 @@ def close_sketches(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return pairs.join(b, "b").join(a, "a").where(odd <= MOST_ODD).select("a", "b")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Of saved ``pairs`` those with the wanted similarity of their full sets."""
-    wanted = saved(pairs.select(F.col("a").alias("doc")).unionByName(pairs.select(F.col("b").alias("doc"))).distinct())
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Of saved ``pairs`` of classes those with the wanted similarity of their full sets, which
+    the text of each class's first row gives."""
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    wanted = saved(classes.select("node", F.col("head.key").alias("key")).join(nodes, "node", "left_semi"))
     blocks = blocks_for(wanted.count())
-    maybe = tested(docs, "doc", saved(bloom_filter(wanted, "doc", blocks)), blocks).where("maybe")
+    maybe = tested(docs, "key", saved(bloom_filter(wanted, "key", blocks)), blocks).where("maybe")
 
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [s.tobytes() for s in shingle_sets(th.texts_of(batch), words)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(sets, pa.binary())], ["doc", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sets, pa.binary())], ["key", "shingles"])
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,10 +154,10 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    sets = saved(maybe.select("doc", "text").join(wanted, "doc", "left_semi")
-                 .mapInArrow(shingled, "doc long, shingles binary").dropDuplicates(["doc"]))
-    a = sets.select(F.col("doc").alias("a"), F.col("shingles").alias("set_a"))
-    b = sets.select(F.col("doc").alias("b"), F.col("shingles").alias("set_b"))
+    sets = saved(maybe.select("key", "text").join(wanted, "key", "left_semi")
+                 .mapInArrow(shingled, "key long, shingles binary").dropDuplicates(["key"]).join(wanted, "key"))
+    a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
+    b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
     return pairs.join(b, "b").join(a, "a").select("a", "b", "set_a", "set_b").mapInArrow(similar, "a long, b long")
 
 
@@ -191,47 +199,60 @@ def _between_components(entries: DataFrame, found: DataFrame, classes: DataFrame
     return spread.groupBy("key", "left", "right").applyInArrow(close, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, percent: int = PERCENT) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (the smallest doc_id that links
-    reach, its own included) and kept, which is true where the two ids are the same."""
+def grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """One row per document: key, doc, n_shingles and ``top``, the least (doc, key) that links reach.
+
+    Texts with equal sets are a class, numbered when the classes are written; links, stars and
+    components are between classes, so rows that share an id neither lend nor lose links.
+    """
     ship(docs.sparkSession)
-    rows = docs.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "text")
+    rows = docs.select(row_key().alias("key"), F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "text")
     described = saved(features(rows, words))
     classes = saved(described.where("n_shingles > 0").groupBy("set").agg(
-        F.min("doc").alias("node"), F.count(F.lit(1)).alias("copies"),
-        F.first("bands").alias("bands"), F.first("sketch").alias("sketch")))
+        F.min(F.struct("doc", "key")).alias("head"), F.count(F.lit(1)).alias("copies"),
+        F.first("bands").alias("bands"), F.first("sketch").alias("sketch")).withColumn(
+        "node", F.monotonically_increasing_id()))
     buckets = saved(classes.select(F.explode("bands").alias("key"), "node"))
     entries = saved(with_bounds(buckets, "key", "node").where("lo < hi").select("key", "node", "lo"))
     stars = saved(entries.where("node > lo").select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct())
-    links = saved(confirmed(saved(close_sketches(stars, classes)), rows, words, percent))
+    links = saved(confirmed(saved(close_sketches(stars, classes)), classes, rows, words, percent))
     found = components(links)
     rest = _between_components(entries.select("key", "node"), found, classes)
     rest = saved(rest.join(stars, ["a", "b"], "left_anti"))
     if not rest.isEmpty():
-        more = confirmed(rest, rows, words, percent)
+        more = confirmed(rest, classes, rows, words, percent)
         found = components(links.unionByName(more))
-    named = saved(classes.select("set", "node", "copies").join(found, "node", "left").select(
-        "set", "copies", F.coalesce("component", "node").alias("component")))
-    thin = described.select("doc", "n_shingles", "set")
-    full = thin.where("n_shingles > 0")
-    grouped = join_groups(full, named, "set", "copies", described.count()).select("doc", "n_shingles", "component")
-    empty = thin.where("n_shingles = 0").select("doc", "n_shingles", F.col("doc").alias("component"))
-    id_of = lambda c: F.when(F.col(c) != LAST, F.col(c))
-    return grouped.unionByName(empty).select(
-        id_of("doc").alias("doc_id"), "n_shingles", id_of("component").alias("component_id"),
-        (F.col("doc") == F.col("component")).alias("kept"))
+    placed = saved(classes.select("set", "copies", "head", "node").join(found, "node", "left").select(
+        "set", "copies", "head", F.coalesce("component", "node").alias("component")))
+    tops = saved(placed.groupBy("component").agg(F.min("head").alias("top"), F.count(F.lit(1)).alias("members")))
+    named = saved(join_groups(placed, tops, "component", "members", placed.count()).select("set", "copies", "top"))
+    thin = described.select("key", "doc", "n_shingles", "set")
+    full = join_groups(thin.where("n_shingles > 0"), named, "set", "copies", described.count())
+    empty = thin.where("n_shingles = 0").withColumn("top", F.struct("doc", "key"))
+    columns = ["key", "doc", "n_shingles", "top"]
+    return full.select(*columns).unionByName(empty.select(*columns))
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, percent: int = PERCENT) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (the smallest doc_id that links
+    reach, its own included) and kept, which is true where the two ids are the same."""
+    id_of = lambda c: F.when(c != LAST, c)
+    top = F.col("top.doc")
+    return grouped(docs, words, percent).select(
+        id_of(F.col("doc")).alias("doc_id"), "n_shingles", id_of(top).alias("component_id"),
+        (F.col("doc") == top).alias("kept"))
 
 
 def survivors(docs: DataFrame, words: int = 5, percent: int = PERCENT) -> DataFrame:
-    """The documents of which no near-duplicate with a smaller id is left, all columns as they came.
+    """One document of each group of near-duplicates, that of the smallest id, all columns as they came.
 
-    Only texts of documents that may have to go shuffle.
+    Of several texts under that id, or without ids, one stays too; rows alike in id and text stay
+    or go together. Only texts of documents that may have to go shuffle.
     """
-    gone = saved(near_duplicates(docs, words, percent).where(~F.col("kept") & F.col("doc_id").isNotNull())
-                 .select("doc_id").distinct())
+    gone = saved(grouped(docs, words, percent).where("key <> top.key").select("key").distinct())
     blocks = blocks_for(gone.count())
-    rows = docs.select(F.struct("*").alias("row"), "doc_id")
-    marked = tested(rows, "doc_id", saved(bloom_filter(gone, "doc_id", blocks)), blocks)
+    rows = docs.select(F.struct("*").alias("row"), row_key().alias("key"))
+    marked = tested(rows, "key", saved(bloom_filter(gone, "key", blocks)), blocks)
     kept = marked.where(~F.col("maybe")).select("row")
-    left = marked.where("maybe").join(gone, "doc_id", "left_anti").select("row")
+    left = marked.where("maybe").join(gone, "key", "left_anti").select("row")
     return kept.unionByName(left).select("row.*")
