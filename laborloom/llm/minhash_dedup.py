@@ -208,10 +208,12 @@ def grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
     ship(docs.sparkSession)
     rows = docs.select(row_key().alias("key"), F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "text")
     described = saved(features(rows, words))
+    # Numbered in the order of their first rows, as the smallest member of a bucket is its hub: the
+    # earliest of many near copies is the likeliest to be near them all.
     classes = saved(described.where("n_shingles > 0").groupBy("set").agg(
         F.min(F.struct("doc", "key")).alias("head"), F.count(F.lit(1)).alias("copies"),
-        F.first("bands").alias("bands"), F.first("sketch").alias("sketch")).withColumn(
-        "node", F.monotonically_increasing_id()))
+        F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+        .repartitionByRange("head").sortWithinPartitions("head").withColumn("node", F.monotonically_increasing_id()))
     buckets = saved(classes.select(F.explode("bands").alias("key"), "node"))
     entries = saved(with_bounds(buckets, "key", "node").where("lo < hi").select("key", "node", "lo"))
     stars = saved(entries.where("node > lo").select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct())
