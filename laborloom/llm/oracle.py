@@ -13,6 +13,54 @@ ORACLE_SQL: dict[str, str] = {
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, t.sha AS text_sha256
         FROM t JOIN g USING (sha)
     """,
+    "op6_substring_dedup": r"""
+        WITH t AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                                       lambda w: w <> '') AS words
+            FROM documents),
+        starts AS (
+            SELECT doc_id, i, sha256(array_to_string(words[i:i + 12], ' ')) AS win
+            FROM t, unnest(range(1, len(words) - 11)) AS s(i)),
+        firsts AS (SELECT win, min(doc_id) AS first_id FROM starts GROUP BY win),
+        gone AS (
+            SELECT DISTINCT doc_id, i + j AS place
+            FROM starts JOIN firsts USING (win), range(13) AS o(j)
+            WHERE doc_id > first_id),
+        kept AS (
+            SELECT w.doc_id, count(*) FILTER (gone.place IS NOT NULL) AS n_removed,
+                   string_agg(word, ' ' ORDER BY w.place) FILTER (gone.place IS NULL) AS text
+            FROM (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM t) w
+            LEFT JOIN gone ON w.doc_id = gone.doc_id AND w.place = gone.place
+            GROUP BY w.doc_id)
+        SELECT t.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+               sha256(coalesce(kept.text, '')) AS kept_sha256
+        FROM t LEFT JOIN kept USING (doc_id)
+    """,
+    "op9_minhash_near_dedup": r"""
+        WITH RECURSIVE t AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'),
+                       lambda w: w <> '') AS words
+            FROM documents),
+        s AS (
+            SELECT DISTINCT doc_id, md5_number(array_to_string(words[i:i + 3], ' ')) AS shingle
+            FROM t, unnest(range(1, greatest(len(words) - 3, least(len(words), 1)) + 1)) AS p(i)),
+        n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+        shared AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+            FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY ALL),
+        links AS (
+            SELECT a, b FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+            WHERE 100 * common >= 80 * (x.size + y.size - common)),
+        both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach(doc_id, other) AS (
+            SELECT a, a FROM links UNION SELECT b, b FROM links
+            UNION SELECT reach.doc_id, both_ways.b FROM reach JOIN both_ways ON other = a),
+        home AS (SELECT doc_id, min(other) AS component_id FROM reach GROUP BY doc_id)
+        SELECT t.doc_id, coalesce(size, 0) AS n_shingles, coalesce(component_id, t.doc_id) AS component_id,
+               t.doc_id = coalesce(component_id, t.doc_id) AS kept
+        FROM t LEFT JOIN n USING (doc_id) LEFT JOIN home USING (doc_id)
+    """,
     "op10_chat_formatting": r"""
         WITH c AS (
             SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations

@@ -465,7 +465,7 @@ def test_reply_trees_rank_branches_and_mask_loss(spark):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_queries_match_their_sql(spark, name):
     base = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "conversations", "embeddings"):
         base.sql(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
     want = base.sql(ORACLE_SQL[name])
     got = QUERIES[name](spark, SF).select(*want.columns).collect()
