@@ -198,12 +198,13 @@ class Trees:
 
 def isotonic(score: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Points of the non-decreasing step fit of ``y`` on ``score`` (pool adjacent violators)."""
-    order = np.argsort(score, kind="stable")
+    # Rows of equal scores are one point, or their order would decide where a pool ends.
+    values, row = np.unique(score, return_inverse=True)
+    sums, weights = (np.bincount(row, v, len(values)) for v in (y * weight, weight))
     pools: list[list[float]] = []  # sum, rows, first score, last score
-    for s, v, w in zip(score[order].tolist(), y[order].tolist(), weight[order].tolist(), strict=True):
-        pools.append([v * w, w, s, s])
-        while len(pools) > 1 and (pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]
-                                  or pools[-2][3] == pools[-1][2]):
+    for v, n, s in zip(sums.tolist(), weights.tolist(), values.tolist(), strict=True):
+        pools.append([v, n, s, s])
+        while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
             v2, n2, _, last = pools.pop()
             pools[-1][0] += v2
             pools[-1][1] += n2
