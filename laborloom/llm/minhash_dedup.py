@@ -7,9 +7,10 @@ estimate is far below the threshold go; the others are compared on their full se
 
 No bucket is spelled out in pairs. Its members are first compared with its smallest member
 only and the links so found merged into components. Members of one component need no
-further comparison; where a bucket still holds several, their members are compared block by
-block and only pairs that pass the sketch leave the task, once each. A pair of similarity 0.8 misses
-all bands with probability 3e-6.
+further comparison; where a bucket still holds several, their members are packed into blocks, one row
+each, which are compared two by two, and only pairs that pass the sketch leave the task, once each.
+A pair of similarity 0.8 misses all bands with probability 3e-6. A node with very many pairs is
+joined with them in parts, each with its own copy of the node's sketch or set.
 
 A-Z are lower-cased, words are runs without space or ``\\x09-\\x0D``, a set holds the distinct
 runs of ``words`` words or, for shorter texts, all words as one. Empty and null texts have
@@ -37,7 +38,8 @@ SKETCH_BITS = 2048
 #: a similarity of 0.8, with a standard deviation of 18; 308 stands for about 0.71.
 MOST_ODD = 308
 PERCENT = 80
-IN_BLOCK = 256
+#: Members of a bucket in one block, and pairs of a node that share one copy of its sketch or set.
+IN_BLOCK, IN_PART = 4096, 512
 LAST = (1 << 63) - 1
 _rng = np.random.default_rng(20_240_229)
 FACTORS = _rng.integers(1, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -123,13 +125,29 @@ def features(docs: DataFrame, words: int) -> DataFrame:
         each, "key long, doc long, n_shingles long, set binary, bands array<long>, sketch array<long>")
 
 
+def with_sides(pairs: DataFrame, nodes: DataFrame, value: str) -> DataFrame:
+    """Saved ``pairs`` (a, b) with the ``value`` of both, as value_a and value_b.
+
+    A node's pairs are cut into parts of about IN_PART, and its value is copied once for each, so a
+    node with very many pairs is many tasks' work. Only ids move to cut them.
+    """
+    placed, total, copies = pairs, pairs.count(), {}
+    for side, other in ("a", "b"), ("b", "a"):
+        sizes = saved(pairs.groupBy(side).agg(F.count(F.lit(1)).alias("own_pairs")))
+        part, parts = f"part_{side}", F.ceil(F.col("own_pairs") / IN_PART).cast("int")
+        placed = join_groups(placed, sizes, side, "own_pairs", total).withColumn(
+            part, F.pmod(F.xxhash64(other), parts).cast("int")).drop("own_pairs")
+        copies[side] = nodes.select(F.col("node").alias(side), F.col(value).alias(f"{value}_{side}")).join(sizes, side) \
+            .withColumn(part, F.explode(F.sequence(F.lit(0), parts - 1))).drop("own_pairs")
+    both = saved(placed).join(copies["b"], ["b", "part_b"]).join(copies["a"], ["a", "part_a"])
+    return both.select("a", "b", f"{value}_a", f"{value}_b")
+
+
 def close_sketches(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Of ``pairs`` (a, b) those whose sketches differ in at most MOST_ODD bits."""
-    a = classes.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a"))
-    b = classes.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b"))
+    """Of saved ``pairs`` (a, b) those whose sketches differ in at most MOST_ODD bits."""
     odd = F.aggregate(F.zip_with("sketch_a", "sketch_b", lambda x, y: F.bit_count(x.bitwiseXOR(y))),
                       F.lit(0), lambda total, n: total + n)
-    return pairs.join(b, "b").join(a, "a").where(odd <= MOST_ODD).select("a", "b")
+    return with_sides(pairs, classes, "sketch").where(odd <= MOST_ODD).select("a", "b")
 
 
 def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
@@ -156,9 +174,59 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int,
 
     sets = saved(maybe.select("key", "text").join(wanted, "key", "left_semi")
                  .mapInArrow(shingled, "key long, shingles binary").dropDuplicates(["key"]).join(wanted, "key"))
-    a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
-    b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
-    return pairs.join(b, "b").join(a, "a").select("a", "b", "set_a", "set_b").mapInArrow(similar, "a long, b long")
+    return with_sides(pairs, sets.withColumnRenamed("shingles", "set"), "set").mapInArrow(similar, "a long, b long")
+
+
+PAIR = "a long, b long"
+MEMBER = ["node", "component", "sketch", "bands"]
+
+
+def _members(table: pa.Table) -> list[np.ndarray]:
+    """MEMBER of some rows, a row of words each for sketches and bands."""
+    nodes = [table.column(c).to_numpy() for c in MEMBER[:2]]
+    return nodes + [table.column(c).combine_chunks().flatten().to_numpy().view(np.uint64).reshape(table.num_rows, -1)
+                    for c in MEMBER[2:]]
+
+
+def _close(key: int, x: list[np.ndarray], y: list[np.ndarray], same: bool) -> pa.Table:
+    """Pairs of members of different components with close sketches, one from ``x`` and one from ``y``."""
+    (node_x, component_x, sketch_x, bands_x), (node_y, component_y, sketch_y, bands_y) = x, y
+    # Of the buckets that two share, the first one speaks for the pair; this bucket is of that band.
+    band = int(np.flatnonzero((bands_x == np.int64(key).view(np.uint64)).all(axis=0))[0])
+    first, second = [], []
+    for i in range(len(node_x)):
+        odd = np.bitwise_count(sketch_y ^ sketch_x[i]).sum(axis=1, dtype=np.int64)
+        hit = np.flatnonzero((odd <= MOST_ODD) & (component_y != component_x[i]))
+        if same:
+            hit = hit[node_y[hit] > node_x[i]]
+        hit = hit[(bands_y[hit, :band] != bands_x[i, :band]).all(axis=1)]
+        first.append(np.minimum(node_y[hit], node_x[i]))
+        second.append(np.maximum(node_y[hit], node_x[i]))
+    none = np.zeros(0, dtype=np.int64)
+    return pa.table({"a": np.concatenate([none, *first]), "b": np.concatenate([none, *second])})
+
+
+def _within_blocks(table: pa.Table) -> pa.Table:
+    members = _members(table)
+    return _close(table.column("key")[0].as_py(), members, members, True)
+
+
+def _packed(table: pa.Table) -> pa.Table:
+    """A block's members as one row."""
+    one = table.select(["key", "own", "blocks"]).slice(0, 1)
+    for name, values in zip(MEMBER, _members(table), strict=True):
+        one = one.append_column(name, pa.array([values.tobytes()], pa.binary()))
+    return one
+
+
+def _between_blocks(table: pa.Table) -> pa.Table:
+    """Of two packed blocks of a bucket, or none where one has no members."""
+    if table.num_rows < 2:
+        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    x, y = ([np.frombuffer(table.column(c)[i].as_buffer(), dtype=kind) for c, kind in
+             zip(MEMBER, [np.int64, np.int64, np.uint64, np.uint64], strict=True)] for i in (0, 1))
+    x, y = ([*m[:2], *(words.reshape(len(m[0]), -1) for words in m[2:])] for m in (x, y))
+    return _close(table.column("key")[0].as_py(), x, y, False)
 
 
 def _between_components(entries: DataFrame, found: DataFrame, classes: DataFrame) -> DataFrame:
@@ -171,32 +239,15 @@ def _between_components(entries: DataFrame, found: DataFrame, classes: DataFrame
     placed = join_groups(mixed, sizes, "key", "members", mixed.count()).withColumn(
         "blocks", F.ceil(F.col("members") / IN_BLOCK).cast("int")).withColumn(
         "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    spread = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).join(
-        classes.select("node", "sketch", "bands"), "node").select(
-        "key", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"),
-        "own", "node", "component", "sketch", "bands")
-
-    def close(table: pa.Table) -> pa.Table:
-        left, right = (table.column(c)[0].as_py() for c in ("left", "right"))
-        own, node, component = (table.column(c).to_numpy() for c in ("own", "node", "component"))
-        sketch, bands = (table.column(c).combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(node), -1)
-                         for c in ("sketch", "bands"))
-        band = int(np.flatnonzero((bands == bands[0]).all(axis=0) & (bands[0].view(np.int64) == table.column("key")[0].as_py()))[0])
-        x, y = np.flatnonzero(own == left), np.flatnonzero(own == right)
-        first, second = [], []
-        for i in x.tolist():
-            odd = np.bitwise_count(sketch[y] ^ sketch[i]).sum(axis=1, dtype=np.int64)
-            hit = y[(odd <= MOST_ODD) & (component[y] != component[i])]
-            if left == right:
-                hit = hit[node[hit] > node[i]]
-            # Of the buckets that two share, the first one speaks for the pair.
-            hit = hit[(bands[hit, :band] != bands[i, :band]).all(axis=1)]
-            first.append(np.minimum(node[hit], node[i]))
-            second.append(np.maximum(node[hit], node[i]))
-        none = np.zeros(0, dtype=np.int64)
-        return pa.table({"a": np.concatenate([none, *first]), "b": np.concatenate([none, *second])})
-
-    return spread.groupBy("key", "left", "right").applyInArrow(close, "a long, b long").distinct()
+    members = saved(placed.join(classes.select("node", "sketch", "bands"), "node").select("key", "blocks", "own", *MEMBER))
+    within = members.groupBy("key", "own").applyInArrow(_within_blocks, PAIR)
+    # A block is sent once to each other block of its bucket.
+    packed = saved(members.where("blocks > 1").groupBy("key", "own").applyInArrow(
+        _packed, "key long, own int, blocks int, node binary, component binary, sketch binary, bands binary"))
+    sent = packed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("other <> own").select(
+        "key", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), *MEMBER)
+    between = sent.groupBy("key", "left", "right").applyInArrow(_between_blocks, PAIR)
+    return within.unionByName(between).distinct()
 
 
 def grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:

@@ -84,6 +84,14 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, weight: str, total
     return beside.unionByName(moved)
 
 
+def join_keys(rows: DataFrame, groups: DataFrame, key: str) -> DataFrame:
+    """Inner join of ``rows`` with ``groups``, which has one row for each ``key``, as in
+    :func:`join_groups`; how often a key occurs is counted first."""
+    often = saved(rows.groupBy(key).agg(F.count(F.lit(1)).alias("key_rows")))
+    total = often.agg(F.coalesce(F.sum("key_rows"), F.lit(0))).first()[0]
+    return join_groups(rows, groups.join(often, key), key, "key_rows", total).drop("key_rows")
+
+
 def frequent_keys(rows: DataFrame, key: str, total: int) -> list[tuple[int, int]]:
     """Keys that a sample shows often, each with a number of parts, a power of two, that leaves
     at most about a quarter of an even partition in one part. Keys: at most SAMPLED / SEEN_OFTEN
@@ -135,7 +143,7 @@ def components(links: DataFrame) -> DataFrame:
         hooks = saved(both.groupBy("a").agg(F.least("a", F.min("b")).alias("up")).withColumnRenamed("a", "node"))
         while True:
             ends = hooks.select(F.col("node").alias("up"), F.col("up").alias("top"))
-            jumped = saved(hooks.join(ends, "up").select("node", F.col("top").alias("up"),
+            jumped = saved(join_keys(hooks, ends, "up").select("node", F.col("top").alias("up"),
                                                          (F.col("top") != F.col("up")).alias("moved")))
             still = not jumped.where("moved").isEmpty()
             hooks = jumped.select("node", "up")
@@ -144,7 +152,8 @@ def components(links: DataFrame) -> DataFrame:
         maps.append(hooks)
         a = hooks.select(F.col("node").alias("a"), F.col("up").alias("new_a"))
         b = hooks.select(F.col("node").alias("b"), F.col("up").alias("new_b"))
-        moved = links.join(a, "a").join(b, "b").where("new_a <> new_b")
+        # A node may have any number of links as either end.
+        moved = join_keys(saved(join_keys(links, a, "a")), b, "b").where("new_a <> new_b")
         links = saved(moved.select(F.least("new_a", "new_b").alias("a"), F.greatest("new_a", "new_b").alias("b")).distinct())
     if not maps:
         return spark.createDataFrame([], "node long, component long")

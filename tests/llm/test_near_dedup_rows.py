@@ -77,3 +77,32 @@ def test_one_text_of_each_group_stays(spark):
     groups = expected(rows, 5)
     assert {g[2] for g in groups if g[1]} == {groups[p][2] for p in sets if groups[p][1]}
     assert sum(not s for s in sets.values()) == 3  # empty texts are linked with nothing
+
+
+def templates():
+    """Rows in buckets with many members that are no links, and hubs with many that are."""
+    rng = random.Random(4)
+    rows, doc_id = [], 100
+    for _ in range(2):
+        body = prose(rng, 60).split()
+        for edits, rows_of in (1, 30), (4, 30), (6, 60):
+            for _ in range(rows_of):
+                words = list(body)
+                for place in rng.sample(range(60), edits):
+                    words[place] = f"x{rng.randrange(10_000)}"
+                rows.append((doc_id, " ".join(words)))
+                doc_id += 1
+    return rows
+
+
+def test_packed_blocks_and_cut_hubs_change_nothing(spark, monkeypatch):
+    rows = templates()
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = sorted(expected(rows, 4), key=str)
+    assert len({g[2] for g in want}) > 20  # components in crowded buckets
+    compared = []
+    for in_block, in_part in (4096, 512), (9, 3):
+        monkeypatch.setattr(minhash_dedup, "IN_BLOCK", in_block)
+        monkeypatch.setattr(minhash_dedup, "IN_PART", in_part)
+        compared.append(sorted(map(tuple, minhash_dedup.near_duplicates(frame, 4).collect()), key=str))
+    assert compared == [want] * 2
