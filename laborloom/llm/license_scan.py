@@ -27,6 +27,10 @@ SENTENCES = {
     "apacheComply": r"you may not use this file except in compliance with the license",
     "apacheAsIs": r"unless required by applicable law or agreed to in writing software distributed under the "
                   r"license is distributed on an as is basis without warranties or conditions of any kind…",
+    "apacheTitle": r"apache license version 2\.0 january 2004",
+    "apacheGrant": r"subject to the terms and conditions of this license each contributor hereby grants to you a perpetual "
+                   r"worldwide non exclusive no charge royalty free irrevocable (copyright|except as stated in this section "
+                   r"patent) license…",
     "mitNotice": r"(released|licensed|distributed) under the (terms of the )?mit license",
     "mitGrant": r"permission is hereby granted free of charge to any person obtaining a copy of this software…",
     "mitNoticeKept": r"the above copyright notice and this permission notice shall be included in all copies…",
@@ -34,6 +38,22 @@ SENTENCES = {
     "bsdGrant": r"redistribution and use in source and binary forms with or without modification are permitted…",
     "bsdNoName": r"neither the names? of (?:(?! may be used to |neither the ).)*+ may be used to endorse or promote products…|"
                  r"the names? of (?:(?! may not be used to | the names? of ).)*+ may not be used to endorse or promote products…",
+    "iscGrant": r"permission to use copy modify and( or)? distribute this software for any purpose with or without fee is "
+                r"hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "zeroBsdGrant": r"permission to use copy modify and( or)? distribute this software for any purpose with or without fee "
+                    r"is hereby granted",
+    "disclaims": r"the software is provided as is and (the authors?|isc) disclaims? all warranties with regard to this software…",
+    "zlibAsIs": r"this software is provided as is without any express or implied warranty",
+    "zlibGrant": r"permission is granted to anyone to use this software for any purpose including commercial applications "
+                 r"and to alter it and redistribute it freely…",
+    "boostNotice": r"(released|licensed|distributed) under the boost software license version 1\.0",
+    "boostGrant": r"permission is hereby granted free of charge to any person or organization obtaining a copy of the "
+                  r"software and accompanying documentation covered by this license…",
+    "unlicensed": r"this is free and unencumbered software released into the public domain",
+    "cc0Notice": r"licensed under (a )?(cc0|cc 0) 1\.0( universal)?",
+    "cc0Waived": r"has waived all copyright and related or neighboring rights…",
+    "epl1Notice": r"made available under the terms of the eclipse public license (v |version )?1\.0…",
+    "epl2Notice": r"made available under the terms of the eclipse public license (v |version )?2\.0…",
     "ccByNc4": r"licensed under (a )?cc by nc 4\.0",
     "ccBySa4": r"licensed under (a )?cc by sa 4\.0",
     "ccBy4": r"licensed under (a )?cc by 4\.0",
@@ -52,6 +72,8 @@ SENTENCES = {
     "version3": r"either version 3(\.0)?…|version 3(\.0)? of the license…",
     "gplOrLater": r"or (at your option )?any later version",
     "mplNotice": r"this source code form is subject to the terms of the mozilla public license v 2\.0",
+    "mplTitle": r"mozilla public license version 2\.0",
+    "mplAsIs": r"covered software is provided under this license on an as is basis without warranty of any kind…",
     "spdx": r"spdx license identifier[\x20][a-z0-9.+\x20]+",
     "asIs": r"the software is provided as is without warranty of any kind…",
     "allRights": r"all rights reserved",
@@ -62,6 +84,7 @@ _LATER = "(?!,gplOrLater,)"
 RULES = [
     ("Apache-2.0", ["apacheNotice", "apacheComply", "apacheAsIs"]),
     ("Apache-2.0", ["apacheNotice"]),
+    ("Apache-2.0", ["apacheTitle", "apacheGrant"]),
     ("MIT", ["mitGrant", "mitNoticeKept", "asIs"]),
     ("MIT", ["mitNotice"]),
     ("BSD-3-Clause", ["bsdGrant", "bsdNoName"]),
@@ -86,17 +109,27 @@ RULES = [
     ("LGPL", ["(?:lgplNotice|lgplFree(?!,version))"]),
     ("AGPL", ["agplFree(?!,version)"]),
     ("MPL-2.0", ["mplNotice"]),
+    ("MPL-2.0", ["mplTitle", "mplAsIs"]),
+    ("ISC", ["iscGrant", "disclaims"]),
+    ("0BSD", ["zeroBsdGrant", "disclaims"]),
+    ("Zlib", ["zlibAsIs", "zlibGrant"]),
+    ("BSL-1.0", ["boostGrant", "asIs"]),
+    ("BSL-1.0", ["boostNotice"]),
+    ("Unlicense", ["unlicensed"]),
+    ("CC0-1.0", ["(?:cc0Notice|cc0Waived)"]),
+    ("EPL-1.0", ["epl1Notice"]),
+    ("EPL-2.0", ["epl2Notice"]),
 ]
 #: A rule counts only where none of these, which include it, holds.
 INCLUDED_IN = {"BSD-2-Clause": "BSD-3-Clause"}
 #: Every known sentence has one of these words, so a text without them needs no cutting.
-ANCHORS = ["licen", "permission", "redistribut", "reserved", "warrant", "later", "endorse"]
+ANCHORS = ["licen", "permission", "redistribut", "reserved", "warrant", "later", "endorse", "unencumbered", "waived"]
 #: Marks of comments and quotations at the start of a line.
 MARKS = r"(?m)^[#*/;%!<>|'\"\t -]*+(?:(?:dnl|DNL|rem|REM|\.\\\")(?=\s|$)[\t ]*+|[cC](?=[\t ]{2}))?"
 #: Full stops that end no sentence: of abbreviated versions and of company forms.
 ABBREVIATED = r"\b([vV]|[vV]ers?|[nN]o)\.(?=\s*+\d)|\b(Inc|INC|Ltd|LTD|Corp|CORP|Co|CO)\.(?=,|\s++\p{Ll})"
 #: Spelling of SPDX ids, which are case-insensitive.
-SPDX_NAMES = {name.lower(): name for name in (*(name for name, _ in RULES), "0BSD", "BSL-1.0", "CC0-1.0", "ISC", "Unlicense", "Zlib")} | {
+SPDX_NAMES = {name.lower(): name for name in (name for name, _ in RULES)} | {
     f"{f.lower()}-{v}+": f"{f}-{v}-or-later" for f in ("GPL", "LGPL", "AGPL") for v in ("2.0", "2.1", "3.0")}
 _ID = r"[A-Za-z0-9.+:-]+"
 
