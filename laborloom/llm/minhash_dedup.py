@@ -8,7 +8,8 @@ estimate is far below the threshold go; the others are compared on their full se
 No bucket is spelled out in pairs. Its members are first compared with its smallest member
 only and the links so found merged into components. Members of one component need no
 further comparison; where a bucket still holds several, their members are packed into blocks, one row
-each, which are compared two by two, and only pairs that pass the sketch leave the task, once each.
+each, which are compared two by two. Pairs that pass the sketch are compared on their full sets in
+the task, and only links that join components not yet joined there leave it.
 A pair of similarity 0.8 misses all bands with probability 3e-6. A node with very many pairs is
 joined with them in parts, each with its own copy of the node's sketch or set.
 
@@ -150,10 +151,9 @@ def close_sketches(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return with_sides(pairs, classes, "sketch").where(odd <= MOST_ODD).select("a", "b")
 
 
-def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Of saved ``pairs`` of classes those with the wanted similarity of their full sets, which
-    the text of each class's first row gives."""
-    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+def full_sets(nodes: DataFrame, classes: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """(key, node, shingles) of the classes in ``nodes`` (node): the sorted shingle hashes of
+    the text of each class's first row."""
     wanted = saved(classes.select("node", F.col("head.key").alias("key")).join(nodes, "node", "left_semi"))
     blocks = blocks_for(wanted.count())
     maybe = tested(docs, "key", saved(bloom_filter(wanted, "key", blocks)), blocks).where("maybe")
@@ -163,6 +163,16 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int,
             sets = [s.tobytes() for s in shingle_sets(th.texts_of(batch), words)]
             yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(sets, pa.binary())], ["key", "shingles"])
 
+    return saved(maybe.select("key", "text").join(wanted, "key", "left_semi")
+                 .mapInArrow(shingled, "key long, shingles binary").dropDuplicates(["key"]).join(wanted, "key"))
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """Of saved ``pairs`` of classes those with the wanted similarity of their full sets, which
+    the text of each class's first row gives."""
+    nodes = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+    sets = full_sets(nodes, classes, docs, words)
+
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
@@ -172,8 +182,6 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, words: int,
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    sets = saved(maybe.select("key", "text").join(wanted, "key", "left_semi")
-                 .mapInArrow(shingled, "key long, shingles binary").dropDuplicates(["key"]).join(wanted, "key"))
     return with_sides(pairs, sets.withColumnRenamed("shingles", "set"), "set").mapInArrow(similar, "a long, b long")
 
 
@@ -181,18 +189,30 @@ PAIR = "a long, b long"
 MEMBER = ["node", "component", "sketch", "bands"]
 
 
-def _members(table: pa.Table) -> list[np.ndarray]:
-    """MEMBER of some rows, a row of words each for sketches and bands."""
+def _members(table: pa.Table) -> list:
+    """MEMBER of some rows, a row of words each for sketches and bands, and their full sets."""
     nodes = [table.column(c).to_numpy() for c in MEMBER[:2]]
     return nodes + [table.column(c).combine_chunks().flatten().to_numpy().view(np.uint64).reshape(table.num_rows, -1)
-                    for c in MEMBER[2:]]
+                    for c in MEMBER[2:]] + [[np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in table.column("shingles")]]
+
 
+def _close(key: int, x: list, y: list, same: bool, percent: int) -> pa.Table:
+    """Links between members of different components, one from ``x`` and one from ``y``, with
+    close sketches and the wanted similarity of their full sets.
 
-def _close(key: int, x: list[np.ndarray], y: list[np.ndarray], same: bool) -> pa.Table:
-    """Pairs of members of different components with close sketches, one from ``x`` and one from ``y``."""
-    (node_x, component_x, sketch_x, bands_x), (node_y, component_y, sketch_y, bands_y) = x, y
+    Components that a link found here has joined are one: of their pairs none is compared or
+    sent any more, so no more links leave the task than it has members.
+    """
+    (node_x, component_x, sketch_x, bands_x, sets_x), (node_y, component_y, sketch_y, bands_y, sets_y) = x, y
     # Of the buckets that two share, the first one speaks for the pair; this bucket is of that band.
     band = int(np.flatnonzero((bands_x == np.int64(key).view(np.uint64)).all(axis=0))[0])
+    up: dict[int, int] = {}
+
+    def top(c: int) -> int:
+        while c in up:
+            c = up[c]
+        return c
+
     first, second = [], []
     for i in range(len(node_x)):
         odd = np.bitwise_count(sketch_y ^ sketch_x[i]).sum(axis=1, dtype=np.int64)
@@ -200,37 +220,42 @@ def _close(key: int, x: list[np.ndarray], y: list[np.ndarray], same: bool) -> pa
         if same:
             hit = hit[node_y[hit] > node_x[i]]
         hit = hit[(bands_y[hit, :band] != bands_x[i, :band]).all(axis=1)]
-        first.append(np.minimum(node_y[hit], node_x[i]))
-        second.append(np.maximum(node_y[hit], node_x[i]))
-    none = np.zeros(0, dtype=np.int64)
-    return pa.table({"a": np.concatenate([none, *first]), "b": np.concatenate([none, *second])})
-
-
-def _within_blocks(table: pa.Table) -> pa.Table:
-    members = _members(table)
-    return _close(table.column("key")[0].as_py(), members, members, True)
+        for j in hit.tolist():
+            own, other = top(int(component_x[i])), top(int(component_y[j]))
+            if own == other:
+                continue
+            both = len(np.intersect1d(sets_x[i], sets_y[j], assume_unique=True))
+            if 100 * both >= percent * (len(sets_x[i]) + len(sets_y[j]) - both):
+                up[max(own, other)] = min(own, other)
+                first.append(min(int(node_x[i]), int(node_y[j])))
+                second.append(max(int(node_x[i]), int(node_y[j])))
+    return pa.table({"a": pa.array(first, pa.int64()), "b": pa.array(second, pa.int64())})
 
 
 def _packed(table: pa.Table) -> pa.Table:
-    """A block's members as one row."""
+    """A block's members as one row; the full sets one after another, with their sizes."""
     one = table.select(["key", "own", "blocks"]).slice(0, 1)
-    for name, values in zip(MEMBER, _members(table), strict=True):
+    members = _members(table)
+    for name, values in zip(MEMBER, members[:-1], strict=True):
         one = one.append_column(name, pa.array([values.tobytes()], pa.binary()))
-    return one
+    sets = members[-1]
+    one = one.append_column("sizes", pa.array([np.array([len(v) for v in sets], dtype=np.int64).tobytes()], pa.binary()))
+    return one.append_column("shingles", pa.array([b"".join(v.tobytes() for v in sets)], pa.binary()))
 
 
-def _between_blocks(table: pa.Table) -> pa.Table:
-    """Of two packed blocks of a bucket, or none where one has no members."""
-    if table.num_rows < 2:
-        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
-    x, y = ([np.frombuffer(table.column(c)[i].as_buffer(), dtype=kind) for c, kind in
-             zip(MEMBER, [np.int64, np.int64, np.uint64, np.uint64], strict=True)] for i in (0, 1))
-    x, y = ([*m[:2], *(words.reshape(len(m[0]), -1) for words in m[2:])] for m in (x, y))
-    return _close(table.column("key")[0].as_py(), x, y, False)
+def _unpacked(table: pa.Table, i: int) -> list:
+    m = [np.frombuffer(table.column(c)[i].as_buffer(), dtype=kind) for c, kind in
+         zip(MEMBER, [np.int64, np.int64, np.uint64, np.uint64], strict=True)]
+    sizes = np.frombuffer(table.column("sizes")[i].as_buffer(), dtype=np.int64)
+    joined = np.frombuffer(table.column("shingles")[i].as_buffer(), dtype=np.uint64)
+    sets = np.split(joined, np.cumsum(sizes)[:-1]) if len(sizes) else []
+    return [*m[:2], *(words.reshape(len(m[0]), -1) for words in m[2:]), sets]
 
 
-def _between_components(entries: DataFrame, found: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different components that share a bucket and have close sketches."""
+def _between_components(entries: DataFrame, found: DataFrame, classes: DataFrame, docs: DataFrame,
+                        words: int, percent: int) -> DataFrame:
+    """Links (a, b) of different components that share a bucket, have close sketches and the
+    wanted similarity of their full sets; enough of them to join what all such links join."""
     labelled = saved(entries.join(found, "node", "left").select(
         "key", "node", F.coalesce("component", "node").alias("component")))
     mixed = saved(with_bounds(labelled, "key", "component").where("lo < hi").select("key", "node", "component"))
@@ -239,14 +264,29 @@ def _between_components(entries: DataFrame, found: DataFrame, classes: DataFrame
     placed = join_groups(mixed, sizes, "key", "members", mixed.count()).withColumn(
         "blocks", F.ceil(F.col("members") / IN_BLOCK).cast("int")).withColumn(
         "own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    members = saved(placed.join(classes.select("node", "sketch", "bands"), "node").select("key", "blocks", "own", *MEMBER))
-    within = members.groupBy("key", "own").applyInArrow(_within_blocks, PAIR)
+    sets = full_sets(placed.select("node").distinct(), classes, docs, words).select("node", "shingles")
+    members = saved(placed.join(classes.select("node", "sketch", "bands"), "node").join(sets, "node")
+                    .select("key", "blocks", "own", *MEMBER, "shingles"))
+
+    def within_blocks(table: pa.Table) -> pa.Table:
+        members = _members(table)
+        return _close(table.column("key")[0].as_py(), members, members, True, percent)
+
+    def between_blocks(table: pa.Table) -> pa.Table:
+        """Of two packed blocks of a bucket, or none where one has no members."""
+        if table.num_rows < 2:
+            return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+        return _close(table.column("key")[0].as_py(), _unpacked(table, 0), _unpacked(table, 1), False, percent)
+
+    within = members.groupBy("key", "own").applyInArrow(within_blocks, PAIR)
     # A block is sent once to each other block of its bucket.
     packed = saved(members.where("blocks > 1").groupBy("key", "own").applyInArrow(
-        _packed, "key long, own int, blocks int, node binary, component binary, sketch binary, bands binary"))
+        _packed, "key long, own int, blocks int, node binary, component binary, sketch binary, bands binary, "
+                 "sizes binary, shingles binary"))
     sent = packed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("other <> own").select(
-        "key", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), *MEMBER)
-    between = sent.groupBy("key", "left", "right").applyInArrow(_between_blocks, PAIR)
+        "key", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"), *MEMBER,
+        "sizes", "shingles")
+    between = sent.groupBy("key", "left", "right").applyInArrow(between_blocks, PAIR)
     return within.unionByName(between).distinct()
 
 
@@ -270,10 +310,9 @@ def grouped(docs: DataFrame, words: int, percent: int) -> DataFrame:
     stars = saved(entries.where("node > lo").select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct())
     links = saved(confirmed(saved(close_sketches(stars, classes)), classes, rows, words, percent))
     found = components(links)
-    rest = _between_components(entries.select("key", "node"), found, classes)
-    rest = saved(rest.join(stars, ["a", "b"], "left_anti"))
-    if not rest.isEmpty():
-        more = confirmed(rest, classes, rows, words, percent)
+    # Links found in the blocks are confirmed there; no pair of a crowded bucket is spelled out.
+    more = saved(_between_components(entries.select("key", "node"), found, classes, rows, words, percent))
+    if not more.isEmpty():
         found = components(links.unionByName(more))
     placed = saved(classes.select("set", "copies", "head", "node").join(found, "node", "left").select(
         "set", "copies", "head", F.coalesce("component", "node").alias("component")))

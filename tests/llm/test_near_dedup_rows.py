@@ -103,3 +103,31 @@ def test_packed_blocks_and_cut_hubs_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(minhash_dedup, "IN_BLOCK", 9)
     monkeypatch.setattr(minhash_dedup, "IN_PART", 3)
     assert sorted(map(tuple, minhash_dedup.near_duplicates(frame, 4).collect()), key=str) == want
+
+
+def test_links_of_a_crowded_bucket_leave_a_task_once_per_merge():
+    """Close members of one bucket, each its own component: links leave for merges only, not per pair."""
+    rng = random.Random(5)
+    body = prose(rng, 60).split()
+    texts = []
+    for _ in range(40):
+        words = list(body)
+        words[-1] = f"x{rng.randrange(10_000)}"
+        texts.append(" ".join(words))
+    sets = minhash_dedup.shingle_sets([t.encode() for t in texts], 4)
+    samples = minhash_dedup.min_hashes(sets)
+    bands, sketches = minhash_dedup.band_keys(samples), minhash_dedup.odd_sketches(samples)
+    values, counts = minhash_dedup.np.unique(bands[:, 0], return_counts=True)
+    common = values[counts.argmax()]
+    key = int(common.view(minhash_dedup.np.int64))
+    shared = bands[:, 0] == common
+    nodes = minhash_dedup.np.flatnonzero(shared).astype(minhash_dedup.np.int64)
+    members = [nodes, nodes.copy(), sketches[nodes], bands[nodes], [sets[i] for i in nodes]]
+    got = minhash_dedup._close(key, members, members, True, 80).to_pylist()
+    assert len(nodes) > 20
+    assert len(got) == len(nodes) - 1  # a spanning tree of the bucket, no more
+    home = {int(n): int(n) for n in nodes}
+    for link in got:
+        old, new = home[link["b"]], home[link["a"]]
+        home = {n: new if h == old else h for n, h in home.items()}
+    assert len(set(home.values())) == 1
